@@ -25,6 +25,13 @@ EVENT_TEXTS = {
 DEADLOCK_EVENT = "xml_deadlock_report"
 
 
+def parsed_once(df: DataFrame, column: str, schema: str, row_tag: str, output: str) -> DataFrame:
+    """Add a parsed XML column. The one-element explode keeps filters on parsed fields above the parser; as a
+    plain projection, filter pushdown would copy the parser into every predicate."""
+    parsed = F.from_xml(F.col(column), schema, {"rowTag": row_tag})
+    return df.select("*", F.explode(F.array(parsed)).alias(output))
+
+
 def _last_named(pairs: Column, name: str) -> Column:
     """Value of the last pair with this name (a repeated name overrides earlier ones)."""
     return F.try_element_at(F.filter(pairs, lambda p: p["_name"] == name), F.lit(-1))["value"]
@@ -37,22 +44,27 @@ def _number(text: Column) -> Column:
     )
 
 
-def cpu_record(record: Column) -> tuple[Column, Column]:
-    """(busy %, idle %) of a scheduler record."""
-    health = F.from_xml(record, CPU_SCHEMA, {"rowTag": "Record"})["SchedulerMonitorEvent"]["SystemHealth"]
-    return health["ProcessUtilization"].try_cast("short"), health["SystemIdle"].try_cast("short")
+def parse_cpu_records(df: DataFrame, column: str = "record") -> DataFrame:
+    """Replace the XML column with sql_cpu_pct and idle_pct."""
+    health = F.col("_record.SchedulerMonitorEvent.SystemHealth")
+    return (
+        parsed_once(df, column, CPU_SCHEMA, "Record", "_record")
+        .withColumn("sql_cpu_pct", health["ProcessUtilization"].try_cast("short"))
+        .withColumn("idle_pct", health["SystemIdle"].try_cast("short"))
+        .drop(column, "_record")
+    )
 
 
 def parse_events(df: DataFrame, column: str = "event_data") -> DataFrame:
     """Replace the XML column with event_time, five numbers, four names and `is_valid` (time and numbers
     readable)."""
-    parsed = df.withColumn("_event", F.from_xml(F.col(column), EVENT_SCHEMA, {"rowTag": "event"}))
+    parsed = parsed_once(df, column, EVENT_SCHEMA, "event", "_event")
     numbers = [_number(_last_named(F.col("_event.data"), n)).alias(n) for n in EVENT_NUMBERS]
     texts = [_last_named(F.col("_event.action"), source).alias(name) for name, source in EVENT_TEXTS.items()]
     rest = [c for c in df.columns if c != column]
-    out = parsed.select(
-        *rest, column, iso_timestamp(F.col("_event._timestamp")).alias("event_time_utc"), *numbers, *texts
-    )
+    time = iso_timestamp(F.col("_event._timestamp")).alias("event_time_utc")
+    # inline() computes the fields once, for the validity filter and for everything after it.
+    out = parsed.select(*rest, column, F.inline(F.array(F.struct(time, *numbers, *texts))))
     valid = F.col("event_time_utc").isNotNull()
     for n in EVENT_NUMBERS:
         valid = valid & F.col(n).isNotNull()
@@ -103,9 +115,7 @@ def explode_deadlocks(df: DataFrame, column: str = "target_xml") -> DataFrame:
         F.regexp_extract("_event", r"(?s)(<deadlock\b.*</deadlock>)", 1).alias("deadlock_graph_xml"),
     ).where(_attribute(F.col("_head"), "name") == DEADLOCK_EVENT)
 
-    parsed = reports.withColumn(
-        "_graph", F.from_xml(F.col("deadlock_graph_xml"), DEADLOCK_SCHEMA, {"rowTag": "deadlock"})
-    )
+    parsed = parsed_once(reports, "deadlock_graph_xml", DEADLOCK_SCHEMA, "deadlock", "_graph")
     processes = F.coalesce(F.col("_graph.process-list.process"), F.array())
     victims = F.transform(F.col("_graph.victim-list.victimProcess"), lambda v: v["_id"])
     listed = parsed.withColumns({"_processes": processes, "_victims": victims})

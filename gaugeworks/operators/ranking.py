@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from gaugeworks.operators.sizing import broadcast_if_small
 from gaugeworks.settings import HOT_GROUP_ROWS
 
 
@@ -22,11 +23,12 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 def latest_date_per_group(df: DataFrame, keys: Sequence[str], date: str) -> DataFrame:
     """All rows of each group's latest date.
 
-    The maximum is a map-side combined aggregate of one row per group, joined back. A window would pull a
-    whole group into one task.
+    The maximum is a map-side combined aggregate of one row per group. Its rows are counted first: a small
+    result is broadcast, so the facts are filtered in place; a large one meets them in a shuffled join. A
+    window would pull a whole group into one task.
     """
     newest = df.groupBy(*keys).agg(F.max(date).alias(date))
-    return df.join(newest, [*keys, date], "left_semi")
+    return df.join(broadcast_if_small(newest), [*keys, date], "left_semi")
 
 
 def topk_union(
@@ -52,22 +54,37 @@ def rank_within(
 ) -> DataFrame:
     """Add rank() by each measure, highest first (`ranks` maps rank column to measure). Gaps follow ties.
 
-    Groups up to `hot_rows` rows share one window and one shuffle. Larger groups (at most rows / hot_rows
-    of them) are ranked over their distinct values, cut into value bands that many tasks share: the rank of
-    a value is one plus the rows in higher bands plus the rows above it in its own band. With no such group
-    the second branch is empty and adaptive execution removes it.
+    Groups up to `hot_rows` rows share one window and one shuffle. Larger groups are ranked over their
+    distinct values, cut into value bands that many tasks share: the rank of a value is one plus the rows
+    in higher bands plus the rows above it in its own band.
+
+    Group sizes are counted first, from the group columns alone; without a large group the plan is the plain
+    window. There are at most rows / hot_rows large groups, so their keys are broadcast.
     """
+
+    def windowed(rows: DataFrame) -> DataFrame:
+        for name, measure in ranks.items():
+            best = Window.partitionBy(*group).orderBy(F.col(measure).desc())
+            rows = rows.withColumn(name, F.rank().over(best))
+        return rows
+
     hot = df.groupBy(*group).count().where(F.col("count") > hot_rows).select(*group)
-    usual = df.join(hot, list(group), "left_anti")
-    for name, measure in ranks.items():
-        usual = usual.withColumn(name, F.rank().over(Window.partitionBy(*group).orderBy(F.col(measure).desc())))
-    large = df.join(hot, list(group), "left_semi")
+    if hot.isEmpty():
+        return windowed(df)
+    usual = windowed(df.join(F.broadcast(hot), list(group), "left_anti"))
+    large = df.join(F.broadcast(hot), list(group), "left_semi")
+    ranked = large
     for name, measure in ranks.items():
-        large = _banded_rank(large, group, name, measure, hot_rows)
-    return usual.unionByName(large)
+        placed = _banded_rank(large, group, name, measure, hot_rows)
+        same = F.col(measure).eqNullSafe(F.col(f"_v_{name}"))
+        for c in group:
+            same = same & (F.col(c) == F.col(f"_{name}_{c}"))
+        ranked = ranked.join(placed, same)
+    return usual.unionByName(ranked.select(*usual.columns))
 
 
 def _banded_rank(df: DataFrame, group: Sequence[str], name: str, measure: str, hot_rows: int) -> DataFrame:
+    """Rank of every distinct value of every group."""
     place = [*group, "_band"]
     values = df.groupBy(*group, measure).agg(F.count(F.lit(1)).alias("_rows"))
 
@@ -83,8 +100,8 @@ def _banded_rank(df: DataFrame, group: Sequence[str], name: str, measure: str, h
     width = F.log1p(F.col("_high") - F.col("_low"))
     share = F.when(width > 0, F.log1p(value - F.col("_low")) / width).otherwise(0.0)
     banded = (
-        values.join(spread, list(group))
-        .withColumn("_band", F.coalesce(F.floor(share * bands), F.lit(-1)))  # NULL values rank last
+        values.join(F.broadcast(spread), list(group))  # one row per large group
+        .withColumn("_band", F.when(value.isNull(), F.lit(-1)).otherwise(F.floor(share * bands)))  # NULLs last
         .select(*place, measure, "_rows")
     )
 
@@ -95,16 +112,12 @@ def _banded_rank(df: DataFrame, group: Sequence[str], name: str, measure: str, h
         .select(*place, F.coalesce(F.sum("_rows").over(higher), F.lit(0)).alias("_offset"))
     )
     above = Window.partitionBy(*place).orderBy(F.col(measure).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (
+    return (
         banded.withColumn("_above", F.coalesce(F.sum("_rows").over(above), F.lit(0)))
         .join(offsets, place)
         .select(
-            *[F.col(c).alias(f"_g_{c}") for c in group],
-            F.col(measure).alias("_value"),
+            *[F.col(c).alias(f"_{name}_{c}") for c in group],
+            F.col(measure).alias(f"_v_{name}"),
             (F.col("_offset") + F.col("_above") + 1).cast("int").alias(name),
         )
     )
-    same = F.col(measure).eqNullSafe(F.col("_value"))
-    for c in group:
-        same = same & (F.col(c) == F.col(f"_g_{c}"))
-    return df.join(ranked, same, "inner").drop("_value", *[f"_g_{c}" for c in group])

@@ -1,0 +1,17 @@
+"""Broadcasts behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+from gaugeworks.settings import BROADCAST_ROWS
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a narrow lookup side for broadcast if it has at most `max_rows` rows; else leave the join to
+    adaptive execution, which shuffles and splits skewed partitions.
+
+    The count runs now. Spark plans a join on an aggregate from its input's size, so without the hint the
+    large side would be shuffled before the real size is known.
+    """
+    return F.broadcast(df) if df.count() <= max_rows else df

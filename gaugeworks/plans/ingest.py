@@ -19,7 +19,7 @@ from gaugeworks.functions.scalar import (
     statement_slice,
     truncated_mean,
 )
-from gaugeworks.functions.xml import cpu_record, explode_deadlocks, parse_events
+from gaugeworks.functions.xml import explode_deadlocks, parse_cpu_records, parse_events
 from gaugeworks.operators import exclude, topk_union
 from gaugeworks.plans.live import SNAPSHOT, concurrency, user_requests, with_database_name
 from gaugeworks.schemas import TABLES
@@ -51,16 +51,12 @@ def ingest_cpu(ring_buffers: DataFrame, sys_info: DataFrame) -> DataFrame:
         (F.col("ring_buffer_type") == "RING_BUFFER_SCHEDULER_MONITOR") & F.col("record").contains("<SystemHealth>")
     )
     clock = sys_info.select(*SNAPSHOT, "ms_ticks")
-    busy, idle = cpu_record(F.col("record"))
     age_us = (F.col("ms_ticks") - F.col("timestamp")) * 1000
     moment = F.timestamp_micros(F.unix_micros("snapshot_time_utc") - age_us)
-    samples = records.join(clock, SNAPSHOT).select(
-        "source_instance",
-        F.date_trunc("minute", moment).alias("sample_time_utc"),
-        busy.alias("sql_cpu_pct"),
-        idle.alias("idle_pct"),
+    timed = records.join(clock, SNAPSHOT).select(
+        "source_instance", F.date_trunc("minute", moment).alias("sample_time_utc"), "record"
     )
-    return cpu_rows(samples)
+    return cpu_rows(parse_cpu_records(timed))
 
 
 def ingest_waits(
@@ -151,25 +147,28 @@ def ingest_workload(
 ) -> DataFrame:
     """Completed-query events after each instance's mark, summed per (login, program, host, database).
 
-    The window starts at the mark; on an instance's first run, at its earliest event. Only instances
-    without a mark are read for that minimum. `min_duration_ms` drops faster queries.
+    The window starts at the mark; on an instance's first run, at its earliest event. `min_duration_ms`
+    drops faster queries.
     """
-
-    def usable(log: DataFrame) -> DataFrame:
-        events, _ = split_valid(parse_events(log))
-        if min_duration_ms is not None:
-            events = events.where(F.col("duration") > min_duration_ms * 1000)
-        return events
-
-    first_runs = event_log if marks is None else event_log.join(marks, "source_instance", "left_anti")
-    starts = usable(first_runs).groupBy("source_instance").agg(F.min("event_time_utc").alias("_first"))
+    events, _ = split_valid(parse_events(event_log))
+    if min_duration_ms is not None:
+        events = events.where(F.col("duration") > min_duration_ms * 1000)
     sums = (
-        after_mark(usable(event_log), marks, "event_time_utc")
+        after_mark(events, marks, "event_time_utc")
         .groupBy("source_instance", "mark_utc", *WHO)
-        .agg(*_workload_sums())
+        .agg(F.min("event_time_utc").alias("_first"), *_workload_sums())
+    )
+    # The earliest event per instance comes from the same sums. Both branches use all of their columns (the
+    # minimum here is of whole rows, `least` below changes nothing), so that they share one shuffle and
+    # events are parsed once.
+    measures = [c for c in sums.columns if c not in ("source_instance", "_first")]
+    starts = (
+        sums.groupBy("source_instance")
+        .agg(F.min(F.struct("_first", *measures)).alias("_row"))
+        .select("source_instance", F.col("_row._first").alias("_start"))
     )
-    windows = sums.join(starts, "source_instance", "left").withColumn(
-        "window_start_utc", F.coalesce("mark_utc", "_first")
+    windows = sums.join(starts, "source_instance").withColumn(
+        "window_start_utc", F.coalesce("mark_utc", F.least("_start", "_first"))
     )
     return workload_columns(windows)
 

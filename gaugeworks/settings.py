@@ -66,4 +66,6 @@ LAST_SYSTEM_DATABASE_ID = 4
 SCHEDULER_ID_LIMIT = 255
 EVENT_MIN_DURATION_MS = 1000
 # A group above this many rows is ranked in pieces (see operators.ranking).
-HOT_GROUP_ROWS = 1_000_000
+HOT_GROUP_ROWS = 4_000_000
+# A narrow lookup side (a key and a value or two per row) up to this many rows may be broadcast.
+BROADCAST_ROWS = 500_000

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gaugeworks.operators.ranking import latest_per_key
+from gaugeworks.operators.sizing import broadcast_if_small
 from gaugeworks.schemas import RUNS
 from gaugeworks.settings import RECENT_RUNS
 from gaugeworks.sources.fact_table import FactTable
@@ -57,5 +58,5 @@ def after_mark(events: DataFrame, marks: DataFrame | None, time: str) -> DataFra
     """Events strictly later than their instance's mark, with the mark attached (NULL on a first run)."""
     if marks is None:
         return events.withColumn("mark_utc", F.lit(None).cast("timestamp"))
-    joined = events.join(marks, "source_instance", "left")
+    joined = events.join(broadcast_if_small(marks), "source_instance", "left")  # one mark per instance
     return joined.where(F.col("mark_utc").isNull() | (F.col(time) > F.col("mark_utc")))
