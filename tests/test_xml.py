@@ -1,0 +1,114 @@
+from pyspark.sql import functions as F
+
+from gaugeworks.functions.xml import explode_deadlocks, parse_cpu_records, parse_events
+from tests.conftest import dicts, t
+
+
+def event(stamp="2024-05-01T10:00:00.000Z", body=""):
+    return f"<event name='rpc_completed' package='p' timestamp='{stamp}'>{body}</event>"
+
+
+def number(name, value):
+    return f"<data name='{name}'><value>{value}</value></data>"
+
+
+def name(key, value):
+    return f"<action name='{key}'><value>{value}</value></action>"
+
+
+def parsed(spark, *xml):
+    df = spark.createDataFrame(list(enumerate(xml)), "n int, event_data string")
+    return [r for r in parse_events(df).orderBy("n").collect()]
+
+
+def test_event_fields(spark):
+    body = number("cpu_time", 50) + number("duration", 120) + number("logical_reads", 7) + number("writes", 1)
+    body += number("row_count", 3) + name("server_principal_name", r"CORP\app") + name("client_app_name", "A &amp; B")
+    body += name("client_hostname", "web1") + name("database_name", "shop")
+    (row,) = parsed(spark, event(body=body))
+    assert row.event_time_utc == t("2024-05-01 10:00:00") and row.is_valid
+    assert (row.cpu_time, row.duration, row.logical_reads, row.writes, row.row_count) == (50, 120, 7, 1, 3)
+    assert (row.login_name, row.program_name, row.host_name, row.database_name) == (r"CORP\app", "A & B", "web1", "shop")
+
+
+def test_missing_and_empty_numbers_are_zero_and_repeats_override(spark):
+    (row,) = parsed(spark, event(body="<data name='writes'><value/></data>" + number("duration", 1) + number("duration", 9)))
+    assert (row.cpu_time, row.writes, row.duration, row.login_name) == (0, 0, 9, None)
+    assert row.is_valid
+
+
+def test_unreadable_events_are_marked(spark):
+    bad = parsed(spark, event(body=number("cpu_time", "x")), event(stamp="yesterday"), "not xml", None)
+    assert [r.is_valid for r in bad] == [False] * 4
+
+
+def test_cpu_record(spark):
+    xml = (
+        "<Record id='1'><SchedulerMonitorEvent><SystemHealth><ProcessUtilization>40</ProcessUtilization>"
+        "<SystemIdle>55</SystemIdle><UserModeTime>1</UserModeTime></SystemHealth></SchedulerMonitorEvent></Record>"
+    )
+    row = parse_cpu_records(spark.createDataFrame([(xml,)], "record string")).first()
+    assert (row.sql_cpu_pct, row.idle_pct) == (40, 55)
+
+
+def report(stamp, graph):
+    return (
+        f"<event name='xml_deadlock_report' package='p' timestamp='{stamp}'>"
+        f"<data name='xml_report'><value>{graph}</value></data></event>"
+    )
+
+
+GRAPH = (
+    "<deadlock><victim-list><victimProcess id='p2'/></victim-list><process-list>"
+    "<process id='p1' spid='52' loginname='one' clientapp='A'><inputbuf>x</inputbuf></process>"
+    "<process id='p2' spid='60' loginname='two' clientapp='B'/></process-list>"
+    "<resource-list><keylock objectname='db.dbo.Orders' mode='X'><owner-list><owner id='p1'/></owner-list>"
+    "<waiter-list><waiter id='p2'/></waiter-list></keylock><exchangeEvent id='e'/>"
+    "<pagelock fileid=\"1\" objectname=\"db.dbo.&lt;T&gt;\"/></resource-list></deadlock>"
+)
+
+
+def deadlocks(spark, *buffers):
+    df = spark.createDataFrame([("i", b) for b in buffers], "source_instance string, target_xml string")
+    return dicts(explode_deadlocks(df), "event_time_utc")
+
+
+def test_deadlocks_of_a_buffer(spark):
+    decoy = "<event name='wait_info' package='p' timestamp='2024-05-01T09:00:00.000Z'><data/></event>"
+    empty = "<event name='other' timestamp='2024-05-01T09:00:00.000Z'/>"
+    got = deadlocks(
+        spark,
+        "<RingBufferTarget>" + decoy + empty + report("2024-05-01T10:00:00.000Z", GRAPH)
+        + report("2024-05-01T11:00:00.000Z", "<deadlock><victim-list/><process-list/><resource-list/></deadlock>")
+        + "</RingBufferTarget>",
+    )
+    assert set(got) == {t("2024-05-01 10:00:00"), t("2024-05-01 11:00:00")}
+    first = got[t("2024-05-01 10:00:00")]
+    assert (first["victim_session_id"], first["victim_login"], first["victim_program"]) == (60, "two", "B")
+    assert first["process_count"] == 2
+    assert first["resource_summary"] == "keylock:db.dbo.Orders, exchangeEvent, pagelock:db.dbo.<T>"
+    assert first["deadlock_graph_xml"] == GRAPH
+    second = got[t("2024-05-01 11:00:00")]
+    assert (second["victim_session_id"], second["process_count"], second["resource_summary"]) == (None, 0, None)
+
+
+def test_every_buffer_is_read(spark):
+    got = deadlocks(
+        spark,
+        "<RingBufferTarget>" + report("2024-05-01T10:00:00.000Z", GRAPH) + "</RingBufferTarget>",
+        "<RingBufferTarget>" + report("2024-05-02T10:00:00.000Z", GRAPH) + "</RingBufferTarget>",
+    )
+    assert len(got) == 2
+
+
+def test_first_listed_victim_counts(spark):
+    two = GRAPH.replace("<victimProcess id='p2'/>", "<victimProcess id='p2'/><victimProcess id='p1'/>")
+    got = deadlocks(spark, "<RingBufferTarget>" + report("2024-05-01T10:00:00.000Z", two) + "</RingBufferTarget>")
+    assert got[t("2024-05-01 10:00:00")]["victim_session_id"] == 52
+
+
+def test_parser_runs_once_per_row(spark):
+    df = spark.createDataFrame([(event(),)], "event_data string")
+    plan = parse_events(df).where("is_valid").groupBy("login_name").agg(F.sum("cpu_time"))
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("from_xml(") == 1
