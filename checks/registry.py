@@ -70,7 +70,7 @@ def wait_deltas(s):
 
 @query
 def top_queries(s):
-    return reports.top_queries(s.query_perf)
+    return reports.top_queries(s.query_perf, sized_by=s.query_stats)
 
 
 @query

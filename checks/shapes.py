@@ -87,7 +87,7 @@ class Shapes:
 
     @cached_property
     def query_perf(self) -> DataFrame:
-        return ingest.shaped(ingest.query_costs(self.query_stats, self.sql_text), "fact_query_perf")
+        return ingest.query_costs(self.query_stats, self.sql_text)
 
     @cached_property
     def storage(self) -> DataFrame:

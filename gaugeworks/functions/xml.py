@@ -72,9 +72,8 @@ def parse_events(df: DataFrame, column: str = "event_data") -> DataFrame:
 
 
 def _attribute(tag: Column, name: str) -> Column:
-    """An attribute's text from an opening tag, NULL when absent or empty."""
-    found = F.regexp_extract(tag, rf"""\s{name}\s*=\s*("([^"]*)"|'([^']*)')""", 1)
-    return _unescape(F.nullif(F.substring(found, F.lit(2), F.length(found) - 2), F.lit("")))
+    """An attribute's text from an opening tag; empty when absent."""
+    return _unescape(F.regexp_extract(tag, rf"""(?s)\s{name}\s*=\s*(["'])(.*?)\1""", 2))
 
 
 def _unescape(text: Column) -> Column:
@@ -84,7 +83,7 @@ def _unescape(text: Column) -> Column:
 
 
 def _resource_summary(graph: Column) -> Column:
-    """`tag:object` of every resource in document order, comma separated; NULL without resources.
+    """`tag:object` of every resource in document order, comma separated; empty without resources.
 
     Resource tags are open-ended, so they are read from the opening tags. Owner and waiter lists are cut
     out first, which leaves the resources as the only children.
@@ -92,13 +91,14 @@ def _resource_summary(graph: Column) -> Column:
     block = F.regexp_extract(graph, r"(?s)<resource-list\b[^>]*>(.*)</resource-list>", 1)
     flat = F.regexp_replace(block, r"(?s)<(owner-list|waiter-list)\b[^>]*?(/>|>.*?</\1>)", "")
     tags = F.regexp_extract_all(flat, F.lit(r"""(<[A-Za-z_](?:[^<>"']|"[^"]*"|'[^']*')*>)"""), 1)
-    named = F.transform(
+    named = r"""(?s)^<([^\s/>]+)\s(?:.*?\s)?objectname\s*=\s*(["'])(.+?)\2.*$"""
+    labels = F.transform(
         tags,
-        lambda tag: F.concat_ws(
-            ":", F.regexp_extract(tag, r"^<([^\s/>]+)", 1), _attribute(tag, "objectname")
+        lambda tag: F.when(tag.rlike(named), F.regexp_replace(tag, named, "$1:$3")).otherwise(
+            F.regexp_extract(tag, r"^<([^\s/>]+)", 1)
         ),
     )
-    return F.nullif(F.array_join(named, ", "), F.lit(""))
+    return _unescape(F.array_join(labels, ", "))
 
 
 def explode_deadlocks(df: DataFrame, column: str = "target_xml") -> DataFrame:
@@ -108,12 +108,14 @@ def explode_deadlocks(df: DataFrame, column: str = "target_xml") -> DataFrame:
     events = df.select(
         *rest, F.explode(F.regexp_extract_all(F.col(column), F.lit(event_pattern), 1)).alias("_event")
     )
+    # The cheap test drops most other events before any pattern runs on them.
     head = F.regexp_extract("_event", r"^(<event\s[^>]*>)", 1)
-    reports = events.select(
+    named = F.col("_event").contains(DEADLOCK_EVENT) & (_attribute(head, "name") == DEADLOCK_EVENT)
+    reports = events.where(named).select(
         *rest,
         head.alias("_head"),
         F.regexp_extract("_event", r"(?s)(<deadlock\b.*</deadlock>)", 1).alias("deadlock_graph_xml"),
-    ).where(_attribute(F.col("_head"), "name") == DEADLOCK_EVENT)
+    )
 
     parsed = parsed_once(reports, "deadlock_graph_xml", DEADLOCK_SCHEMA, "deadlock", "_graph")
     processes = F.coalesce(F.col("_graph.process-list.process"), F.array())
@@ -129,6 +131,6 @@ def explode_deadlocks(df: DataFrame, column: str = "target_xml") -> DataFrame:
         F.col("_victim._loginname").alias("victim_login"),
         F.col("_victim._clientapp").alias("victim_program"),
         F.size("_processes").alias("process_count"),
-        _resource_summary(F.col("deadlock_graph_xml")).alias("resource_summary"),
+        F.nullif(_resource_summary(F.col("deadlock_graph_xml")), F.lit("")).alias("resource_summary"),
         "deadlock_graph_xml",
     )

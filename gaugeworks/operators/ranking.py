@@ -51,6 +51,7 @@ def rank_within(
     group: Sequence[str],
     ranks: Mapping[str, str],
     hot_rows: int = HOT_GROUP_ROWS,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Add rank() by each measure, highest first (`ranks` maps rank column to measure). Gaps follow ties.
 
@@ -59,7 +60,8 @@ def rank_within(
     in higher bands plus the rows above it in its own band.
 
     Group sizes are counted first, from the group columns alone; without a large group the plan is the plain
-    window. There are at most rows / hot_rows large groups, so their keys are broadcast.
+    window. There are at most rows / hot_rows large groups, so their keys are broadcast. `sized_by` is a
+    cheaper frame to count, one with no fewer rows per group (such as the input of an aggregate).
     """
 
     def windowed(rows: DataFrame) -> DataFrame:
@@ -68,7 +70,8 @@ def rank_within(
             rows = rows.withColumn(name, F.rank().over(best))
         return rows
 
-    hot = df.groupBy(*group).count().where(F.col("count") > hot_rows).select(*group)
+    counted = df if sized_by is None else sized_by
+    hot = counted.groupBy(*group).count().where(F.col("count") > hot_rows).select(*group)
     if hot.isEmpty():
         return windowed(df)
     usual = windowed(df.join(F.broadcast(hot), list(group), "left_anti"))

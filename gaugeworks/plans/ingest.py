@@ -68,43 +68,65 @@ def ingest_waits(
     return shaped(renamed, "fact_wait_stats")
 
 
-def query_costs(query_stats: DataFrame, sql_text: DataFrame) -> DataFrame:
-    """Cost per query hash and snapshot: sums, integer-division means (microseconds before milliseconds) and
-    the alphabetically first statement. Plans whose text is gone are left out."""
-    texts = sql_text.select("source_instance", "sql_handle", "text")
-    statement = statement_slice(F.col("text"), F.col("statement_start_offset"), F.col("statement_end_offset"))
-    sums = (
-        query_stats.join(texts, ["source_instance", "sql_handle"])
-        .groupBy(*SNAPSHOT, "query_hash")
-        .agg(
-            F.sum("execution_count").alias("exec_count"),
-            F.sum("total_worker_time").alias("_cpu"),
-            F.sum("total_elapsed_time").alias("_elapsed"),
-            F.sum("total_logical_reads").alias("_reads"),
-            F.min(statement).alias("query_sql_text"),
-        )
-    )
+_QUERY = [*SNAPSHOT, "query_hash"]
+_PLAN = ["source_instance", "sql_handle"]
+_OFFSETS = ["statement_start_offset", "statement_end_offset"]
+
+
+def _plan_sums() -> list:
+    return [
+        F.sum("execution_count").alias("exec_count"),
+        F.sum("total_worker_time").alias("_cpu"),
+        F.sum("total_elapsed_time").alias("_elapsed"),
+        F.sum("total_logical_reads").alias("_reads"),
+    ]
+
+
+def _first_statement():
+    return F.min(statement_slice(F.col("text"), *[F.col(c) for c in _OFFSETS])).alias("query_sql_text")
+
+
+def _cost_columns(sums: DataFrame, *more: str) -> DataFrame:
+    """Integer-division means (in microseconds, before milliseconds) and totals."""
     runs = F.col("exec_count")
     return sums.select(
-        *SNAPSHOT,
-        "query_hash",
+        *_QUERY,
         "exec_count",
         micros_to_ms(truncated_mean(F.col("_cpu"), runs)).alias("avg_cpu_ms"),
         micros_to_ms(truncated_mean(F.col("_elapsed"), runs)).alias("avg_duration_ms"),
         truncated_mean(F.col("_reads"), runs).cast(MS2).alias("avg_logical_reads"),
         micros_to_ms(F.col("_cpu")).alias("total_cpu_ms"),
-        "query_sql_text",
-        "_cpu",
+        *more,
     )
 
 
+def query_costs(query_stats: DataFrame, sql_text: DataFrame) -> DataFrame:
+    """Cost and alphabetically first statement of every query hash and snapshot. Plans whose text is gone
+    are left out."""
+    texts = sql_text.select(*_PLAN, "text")
+    sums = query_stats.join(texts, _PLAN).groupBy(*_QUERY).agg(*_plan_sums(), _first_statement())
+    return shaped(_cost_columns(sums, "query_sql_text"), "fact_query_perf")
+
+
 def ingest_query_perf(
     query_stats: DataFrame, sql_text: DataFrame, top_n: int = settings.TOP_QUERIES
 ) -> DataFrame:
-    """Per snapshot, the top queries by total CPU and the top ones by mean reads, each once."""
-    costs = query_costs(query_stats, sql_text)
+    """Per snapshot, the top queries by total CPU and the top ones by mean reads, each once.
+
+    Numbers first: the top queries are picked from hash-aggregated sums, and only their statements are
+    looked up, so the wide texts are never joined to, or sorted with, all plans.
+    """
+    known = query_stats.join(sql_text.select(*_PLAN), _PLAN, "left_semi")
+    costs = _cost_columns(known.groupBy(*_QUERY).agg(*_plan_sums()), "_cpu")
     top = topk_union(costs, SNAPSHOT, ["query_hash"], ["_cpu", "avg_logical_reads"], top_n)
-    return shaped(top, "fact_query_perf")
+    named = (
+        query_stats.select(*_QUERY, "sql_handle", *_OFFSETS)
+        .join(top, _QUERY)
+        .join(sql_text.select(*_PLAN, "text"), _PLAN)
+        .groupBy(*top.columns)  # the costs ride along with their key, so `top` is used, and computed, once
+        .agg(_first_statement())
+    )
+    return shaped(named, "fact_query_perf")
 
 
 def query_perf_rows(rowset: DataFrame) -> DataFrame:

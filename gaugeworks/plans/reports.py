@@ -57,13 +57,16 @@ def wait_deltas(waits: DataFrame, slot: str | None = "day", tie_break: Sequence[
     )
 
 
-def top_queries(queries: DataFrame, hot_rows: int = settings.HOT_GROUP_ROWS) -> DataFrame:
+def top_queries(
+    queries: DataFrame, hot_rows: int = settings.HOT_GROUP_ROWS, sized_by: DataFrame | None = None
+) -> DataFrame:
     """Queries ranked within their snapshot by mean CPU and by mean duration."""
     return rank_within(
         queries,
         ["source_instance", "snapshot_time_utc"],
         {"cpu_rank": "avg_cpu_ms", "duration_rank": "avg_duration_ms"},
         hot_rows,
+        sized_by,
     ).select(
         "source_instance",
         "snapshot_time_utc",
