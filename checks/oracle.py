@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import re
 
+from gaugeworks import settings
+
 AS_OF = "TIMESTAMP '2001-08-02 12:30:00'"
 EVENTS_AS_OF = "TIMESTAMP '2024-01-31 00:30:00'"
 INSTANCES = "unnest(['srv-0', 'srv-1', 'srv-2', 'srv-3'])"
@@ -26,13 +28,26 @@ PART_PROGRAM = """CASE WHEN p_partkey % 7 = 0 THEN NULL
     WHEN p_name LIKE '%gear' THEN 'python odbc'
     WHEN p_name LIKE '%plate' THEN '.Net SqlClient Data Provider'
     ELSE p_name END"""
-WAIT_CATEGORY = """CASE WHEN starts_with(wait_type, 'LCK_M') THEN 'Lock'
-    WHEN wait_type IN ('CXPACKET', 'CXCONSUMER') THEN 'Parallelism'
-    WHEN starts_with(wait_type, 'PAGEIOLATCH')
-      OR wait_type IN ('IO_COMPLETION', 'ASYNC_IO_COMPLETION', 'WRITELOG', 'BACKUPIO') THEN 'IO'
-    WHEN wait_type IN ('RESOURCE_SEMAPHORE', 'CMEMTHREAD', 'RESOURCE_SEMAPHORE_QUERY_COMPILE') THEN 'Memory'
-    WHEN wait_type IN ('ASYNC_NETWORK_IO', 'NET_WAITFOR_PACKET') THEN 'Network'
-    WHEN wait_type IN ('SOS_SCHEDULER_YIELD', 'THREADPOOL') THEN 'CPU' ELSE 'Other' END"""
+
+
+def wait_category() -> str:
+    branches = []
+    for label, pattern, names in settings.WAIT_CATEGORIES:
+        tests = [f"wait_type LIKE '{pattern}' ESCAPE '\\'"] if pattern else []
+        tests += [f"wait_type = '{n}'" for n in names]
+        branches.append(f"WHEN {' OR '.join(tests)} THEN '{label}'")
+    return f"CASE {' '.join(branches)} ELSE '{settings.OTHER_WAIT_CATEGORY}' END"
+
+
+def deciding_rule(column: str) -> str:
+    """The class id of the seed rule that decides a program."""
+    ordered = sorted(settings.SEED_RULES, key=lambda r: (r[1], r[0]))
+    return "CASE " + " ".join(f"WHEN {column} ILIKE '{r[2]}' THEN {r[0]}" for r in ordered) + " END"
+
+
+RULES = "(VALUES " + ", ".join(f"({r[0]}, {r[1]}, '{r[2]}', '{r[3]}')" for r in settings.SEED_RULES)
+RULES += ") rules(class_id, priority, program_like, workload_category)"
+WAIT_CATEGORY = wait_category()
 
 
 def cents(units: str) -> str:
@@ -45,8 +60,10 @@ def us_to_ms(micros: str) -> str:
     return cents(f"(CAST({micros} AS BIGINT) + 5) // 10")
 
 
-def step(now: str, before: str) -> str:
-    return f"CASE WHEN {now} >= {before} THEN {now} - {before} ELSE {now} END"
+def step(counter: str) -> str:
+    """Growth of a counter since the row before in window w; a fallen counter restarted from zero."""
+    before = f"lag({counter}) OVER w"
+    return f"CASE WHEN {counter} < {before} THEN {counter} ELSE {counter} - {before} END"
 
 
 def ratio(top: str, bottom: str) -> str:
@@ -109,14 +126,10 @@ SHAPES = {
         CAST(coalesce(sum(CAST(l_quantity AS BIGINT)) FILTER (l_linestatus = 'F'), 0) AS BIGINT) AS updates_cum
         FROM lineitem GROUP BY ALL""",
     "access_daily": f"""SELECT source_instance, snapshot_date, database_name, schema_name, table_name,
-        {step('scans_cum', 'p_scans')} AS scans_day, {step('seeks_cum', 'p_seeks')} AS seeks_day,
-        {step('lookups_cum', 'p_lookups')} AS lookups_day, {step('updates_cum', 'p_updates')} AS writes_day,
-        {step('scans_cum', 'p_scans')} + {step('seeks_cum', 'p_seeks')} + {step('lookups_cum', 'p_lookups')}
-          AS reads_day
-        FROM (SELECT *, lag(scans_cum) OVER w AS p_scans, lag(seeks_cum) OVER w AS p_seeks,
-            lag(lookups_cum) OVER w AS p_lookups, lag(updates_cum) OVER w AS p_updates FROM usage
-            WINDOW w AS (PARTITION BY source_instance, database_name, schema_name, table_name
-                         ORDER BY snapshot_date)) z WHERE p_scans IS NOT NULL""",
+        {step('scans_cum')} AS scans_day, {step('seeks_cum')} AS seeks_day, {step('lookups_cum')} AS lookups_day,
+        {step('updates_cum')} AS writes_day, scans_day + seeks_day + lookups_day AS reads_day FROM usage
+        WINDOW w AS (PARTITION BY source_instance, database_name, table_name ORDER BY snapshot_date)
+        QUALIFY row_number() OVER w > 1""",
     "access_trend": f"""SELECT source_instance, database_name, schema_name, table_name,
         round(avg(reads_day), 6) AS avg_reads_per_day, round(avg(scans_day), 6) AS avg_scans_per_day,
         round(avg(writes_day), 6) AS avg_writes_per_day, CAST(sum(scans_day) AS BIGINT) AS total_scans,
@@ -268,10 +281,6 @@ def workload_sum(events: str, window: str, group: str) -> str:
 
 
 WHO = "login_name, program_name, host_name, database_name"
-CATEGORY = """CASE WHEN program_name ILIKE '%Integration Services%' THEN 'ETL/SSIS'
-    WHEN program_name ILIKE 'SSIS-%' THEN 'ETL/SSIS' WHEN program_name ILIKE '%Tableau%' THEN 'BI/Tableau'
-    WHEN program_name ILIKE '%Power BI%' THEN 'BI/Power BI' WHEN program_name ILIKE '%.Net SqlClient%'
-    THEN 'App (generic)' WHEN program_name ILIKE '%ODBC%' THEN 'App/Extract (ODBC)' ELSE 'Unknown' END"""
 EXCLUDED = "('SLEEP_TASK', 'LAZYWRITER_SLEEP')"
 
 _cpu_hours = """(SELECT source_instance, date_trunc('hour', sample_time_utc) AS h, sql_cpu_pct, other_cpu_pct,
@@ -284,9 +293,9 @@ STATEMENTS = {
         CAST(hour(sample_time_utc) AS INTEGER) AS hour_of_day, round(avg(sql_cpu_pct), 6) AS avg_sql_cpu_pct
         FROM cpu GROUP BY ALL""",
     "wait_deltas": f"""SELECT source_instance, snapshot_time_utc, wait_type,
-        {step('wait_ms_cum', 'prev')} AS wait_ms_delta, {WAIT_CATEGORY} AS wait_category
-        FROM (SELECT *, lag(wait_ms_cum) OVER (PARTITION BY source_instance, wait_type
-            ORDER BY snapshot_time_utc, event_id) AS prev FROM waits) z WHERE prev IS NOT NULL""",
+        {step('wait_ms_cum')} AS wait_ms_delta, {WAIT_CATEGORY} AS wait_category FROM waits
+        WINDOW w AS (PARTITION BY source_instance, wait_type ORDER BY snapshot_time_utc, event_id)
+        QUALIFY row_number() OVER w > 1""",
     "top_queries": """SELECT source_instance, snapshot_time_utc, query_hash, exec_count, avg_cpu_ms,
         avg_duration_ms, avg_logical_reads, total_cpu_ms, query_sql_text,
         CAST(rank() OVER (PARTITION BY source_instance, snapshot_time_utc ORDER BY avg_cpu_ms DESC) AS INTEGER)
@@ -327,10 +336,12 @@ STATEMENTS = {
             OR {hours_between('last_log_backup_utc', AS_OF)} > 4) THEN 'AMBER' ELSE 'GREEN' END AS rag_status
         FROM health h WHERE snapshot_date = (SELECT max(snapshot_date) FROM health g
           WHERE g.source_instance = h.source_instance AND g.database_name = h.database_name)""",
-    "workload_by_category": f"""SELECT source_instance, window_start_utc, {CATEGORY} AS workload_category,
+    "workload_by_category": f"""SELECT source_instance, window_start_utc,
+        coalesce(rules.workload_category, 'Unknown') AS workload_category,
         CAST(sum(total_cpu_ms) AS DECIMAL(28,2)) AS total_cpu_ms,
-        CAST(sum(total_logical_reads) AS BIGINT) AS total_logical_reads, CAST(sum(exec_count) AS BIGINT)
-        AS exec_count FROM workload GROUP BY 1, 2, 3""",
+        CAST(sum(total_logical_reads) AS BIGINT) AS total_logical_reads,
+        CAST(sum(exec_count) AS BIGINT) AS exec_count
+        FROM workload LEFT JOIN {RULES} ON rules.class_id = {deciding_rule('program_name')} GROUP BY 1, 2, 3""",
     "top_logins": """SELECT *, CAST(rank() OVER (PARTITION BY source_instance ORDER BY total_cpu_ms DESC)
           AS INTEGER) AS cpu_rank,
         CAST(rank() OVER (PARTITION BY source_instance ORDER BY total_logical_reads DESC) AS INTEGER)
@@ -339,16 +350,12 @@ STATEMENTS = {
           CAST(sum(total_logical_reads) AS BIGINT) AS total_logical_reads,
           CAST(sum(exec_count) AS BIGINT) AS exec_count FROM workload GROUP BY 1, 2) t""",
     "io_latency_deltas": f"""SELECT source_instance, snapshot_time_utc, database_name, logical_file_name,
-        file_type, reads_delta, read_stall_ms_delta, {ratio('read_stall_ms_delta', 'reads_delta')}
-          AS avg_read_latency_ms, writes_delta, write_stall_ms_delta,
-        {ratio('write_stall_ms_delta', 'writes_delta')} AS avg_write_latency_ms, size_on_disk_bytes
-        FROM (SELECT *, {step('reads_cum', 'p1')} AS reads_delta, {step('read_stall_ms_cum', 'p2')}
-            AS read_stall_ms_delta, {step('writes_cum', 'p3')} AS writes_delta,
-            {step('write_stall_ms_cum', 'p4')} AS write_stall_ms_delta
-          FROM (SELECT *, lag(reads_cum) OVER w AS p1, lag(read_stall_ms_cum) OVER w AS p2,
-              lag(writes_cum) OVER w AS p3, lag(write_stall_ms_cum) OVER w AS p4 FROM io
-            WINDOW w AS (PARTITION BY source_instance, database_name, logical_file_name
-              ORDER BY snapshot_time_utc, event_id)) x WHERE p1 IS NOT NULL) y""",
+        file_type, {step('reads_cum')} AS reads_delta, {step('read_stall_ms_cum')} AS read_stall_ms_delta,
+        {ratio('read_stall_ms_delta', 'reads_delta')} AS avg_read_latency_ms, {step('writes_cum')} AS writes_delta,
+        {step('write_stall_ms_cum')} AS write_stall_ms_delta,
+        {ratio('write_stall_ms_delta', 'writes_delta')} AS avg_write_latency_ms, size_on_disk_bytes FROM io
+        WINDOW w AS (PARTITION BY source_instance, database_name, logical_file_name
+          ORDER BY snapshot_time_utc, event_id) QUALIFY row_number() OVER w > 1""",
     "blocking_recent": "SELECT * FROM blocking",
     "deadlock_summary": "SELECT * EXCLUDE (deadlock_graph_xml) FROM deadlocks",
     "deadlock_trend": """SELECT source_instance, date_trunc('day', event_time_utc)::TIMESTAMP AS period_start_utc,
@@ -511,7 +518,7 @@ STATEMENTS = {
         LEFT JOIN (SELECT source_instance, max(started_at_utc) AS mark_utc FROM run_results
           WHERE task = 'view' AND status = 'success' GROUP BY 1) m ON m.source_instance = e.source_instance
         WHERE m.mark_utc IS NULL OR ts > m.mark_utc GROUP BY 1, 2""",
-    "stamp_rows": f"""SELECT 'srv-x' AS source_instance, {EVENTS_AS_OF} AS snapshot_time_utc, wait_type,
+    "stamp": f"""SELECT 'srv-x' AS source_instance, {EVENTS_AS_OF} AS snapshot_time_utc, wait_type,
         wait_ms_cum, waiting_tasks_cum FROM waits WHERE wait_type NOT IN {EXCLUDED}""",
     "per_database_union": """SELECT source_instance, snapshot_time_utc, database_name, file_id, num_of_reads
         FROM named_stats WHERE n_nationkey > 4 AND n_nationkey % 6 <> 5""",
@@ -520,17 +527,16 @@ STATEMENTS = {
     "retention": f"""SELECT * FROM cpu WHERE sample_time_utc >= {EVENTS_AS_OF} - INTERVAL 12 HOUR
         - INTERVAL 10 DAY""",
     "run_ledger": "SELECT event_id AS run_id, * EXCLUDE (event_id) FROM run_results",
-    "recent_runs_report": """SELECT task, source_instance, status, row_count, started_at_utc, error_message
+    "recent_runs": """SELECT task, source_instance, status, row_count, started_at_utc, error_message
         FROM run_results ORDER BY started_at_utc DESC, event_id DESC LIMIT 50""",
     "dry_run": f"""SELECT 'waits' AS task, count(*) AS row_count FROM waits WHERE wait_type NOT IN {EXCLUDED}
         UNION ALL SELECT 'blocking', count(*) FROM blocking""",
     "case_label": f"""SELECT wait_type, {WAIT_CATEGORY} AS wait_category, count(*) AS rows FROM waits
         GROUP BY ALL""",
     "counter_delta": f"""SELECT source_instance, database_name, snapshot_time_utc, event_id, reads_cum, writes_cum,
-        {step('reads_cum', 'p1')} AS reads_delta, {step('writes_cum', 'p2')} AS writes_delta
-        FROM (SELECT *, lag(reads_cum) OVER w AS p1, lag(writes_cum) OVER w AS p2 FROM io
-          WINDOW w AS (PARTITION BY source_instance, database_name ORDER BY snapshot_time_utc, event_id)) z
-        WHERE p1 IS NOT NULL AND snapshot_time_utc >= TIMESTAMP '2024-01-20 00:00:00'""",
+        {step('reads_cum')} AS reads_delta, {step('writes_cum')} AS writes_delta FROM io
+        WINDOW w AS (PARTITION BY source_instance, database_name ORDER BY snapshot_time_utc, event_id)
+        QUALIFY row_number() OVER w > 1 AND snapshot_time_utc >= TIMESTAMP '2024-01-20 00:00:00'""",
     "latest_per_key": """SELECT o_custkey, o_orderdate, o_orderkey, o_totalprice FROM orders
         QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
     "latest_date_per_group": """SELECT o_custkey, o_orderdate, o_orderkey FROM orders
@@ -555,6 +561,8 @@ STATEMENTS = {
           count(*) FILTER (seeks_cum > 200) AS busy_days FROM usage GROUP BY 1) z""",
     "xml_extract": "SELECT *, true AS is_valid FROM parsed_events",
     "statement_slice": "SELECT query_sql_text, count(*) AS queries FROM query_costs GROUP BY 1",
+    "event_files": """SELECT login_name, count(*) AS events, CAST(sum(duration) AS BIGINT) AS duration
+        FROM parsed_events GROUP BY 1""",
     "hour_boundaries": f"SELECT event_id, {hours_between('ts', EVENTS_AS_OF)} AS hours FROM events",
     "streaming_workload": workload_sum(
         "parsed_events",
@@ -562,27 +570,16 @@ STATEMENTS = {
         f"source_instance, time_bucket(INTERVAL 30 MINUTE, event_time_utc), {WHO}",
     ),
     "streaming_counter_deltas": f"""SELECT source_instance, wait_type, snapshot_time_utc, event_id, wait_ms_cum,
-        {step('wait_ms_cum', 'prev')} AS wait_ms_delta
-        FROM (SELECT *, lag(wait_ms_cum) OVER (PARTITION BY source_instance, wait_type
-            ORDER BY snapshot_time_utc, event_id) AS prev
-          FROM (SELECT 'srv-' || (user_id % 4) AS source_instance, event_type AS wait_type,
-              ts AS snapshot_time_utc, event_id, CAST(round(value * 100) AS BIGINT) AS wait_ms_cum
-            FROM events) e) z WHERE prev IS NOT NULL""",
+        {step('wait_ms_cum')} AS wait_ms_delta
+        FROM (SELECT 'srv-' || (user_id % 4) AS source_instance, event_type AS wait_type,
+          ts AS snapshot_time_utc, event_id, CAST(round(value * 100) AS BIGINT) AS wait_ms_cum FROM events) counters
+        WINDOW w AS (PARTITION BY source_instance, wait_type ORDER BY snapshot_time_utc, event_id)
+        QUALIFY row_number() OVER w > 1""",
 }
 STATEMENTS["exclude_anti_join"] = STATEMENTS["ingest_waits"]
-STATEMENTS["rule_usage"] = f"""SELECT v.*, u.exec_count FROM (VALUES
-    (1, 10, '%Integration Services%', 'ETL/SSIS'), (2, 11, 'SSIS-%', 'ETL/SSIS'),
-    (3, 20, '%Tableau%', 'BI/Tableau'), (4, 21, '%Power BI%', 'BI/Power BI'),
-    (5, 22, '%MSOLAP%', 'BI/Analysis Services'), (6, 30, '%Report Server%', 'Reporting/SSRS'),
-    (7, 31, '%ReportingServices%', 'Reporting/SSRS'), (8, 40, '%Azure Data Factory%', 'ETL/ADF'),
-    (9, 41, '%azure-sql-%', 'ETL/ADF'), (10, 50, '%Management Studio%', 'Admin/SSMS'),
-    (11, 51, 'SQLCMD%', 'Admin/CLI'), (12, 52, '%azdata%', 'Admin/CLI'),
-    (13, 60, '%.Net SqlClient%', 'App (generic)'), (14, 61, '%ODBC%', 'App/Extract (ODBC)'),
-    (15, 62, '%jdbc%', 'App/Extract (JDBC)'), (99, 999, '%', 'Unknown'))
-    v(class_id, priority, program_like, workload_category)
-    LEFT JOIN (SELECT CASE {CATEGORY.partition('CASE')[2].partition('END')[0].strip()} END AS c,
-        program_name IS NULL AS none, CAST(sum(exec_count) AS BIGINT) AS exec_count FROM workload GROUP BY 1, 2) u
-      ON NOT u.none AND u.c = v.workload_category AND v.class_id IN (2, 3, 4, 13, 14, 99)"""
+STATEMENTS["seed_rules"] = f"""SELECT rules.*, used.exec_count FROM {RULES}
+    LEFT JOIN (SELECT {deciding_rule('program_name')} AS rule, CAST(sum(exec_count) AS BIGINT) AS exec_count
+      FROM workload GROUP BY 1) used ON used.rule = rules.class_id"""
 
 
 def with_shapes(statement: str) -> str:

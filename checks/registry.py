@@ -16,8 +16,8 @@ from gaugeworks.plans import ingest, live, reports
 from gaugeworks.plans.jobs import seed_rules
 from gaugeworks.schemas import RUNS, TABLES
 from gaugeworks.session import scratch_path
-from gaugeworks.sources import FactTable, in_databases, stamp
-from gaugeworks.sources.ledger import last_states, recent_runs, run_marks
+from gaugeworks.sources import FactTable, in_databases, read_events, stamp
+from gaugeworks.sources.ledger import after_mark, last_states, recent_runs, run_marks
 from gaugeworks.streaming import event_stream, stream_counter_deltas, stream_workload
 
 Query = Callable[[Shapes], DataFrame]
@@ -25,7 +25,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(build: Query) -> Query:
-    QUERIES[build.__name__] = build
+    """Register under the function's name, less the underscore that keeps it apart from an imported one."""
+    QUERIES[build.__name__.rstrip("_")] = build
     return build
 
 
@@ -281,14 +282,14 @@ def incremental_watermark(s):
     marks = run_marks(_runs(s), "view")
     log = s.load("events").selectExpr("concat('srv-', user_id % 4) AS source_instance", "ts", "event_id")
     return (
-        ingest.after_mark(log, marks, "ts")
+        after_mark(log, marks, "ts")
         .groupBy("source_instance", "mark_utc")
         .agg(F.count(F.lit(1)).alias("events"), F.min("ts").alias("first_event"))
     )
 
 
 @query
-def stamp_rows(s):
+def stamp_(s):
     raw = s.wait_stats.drop("source_instance", "snapshot_time_utc")
     return ingest.ingest_waits(stamp(raw, "srv-x", EVENTS_AS_OF))
 
@@ -359,7 +360,7 @@ def run_ledger(s):
 
 
 @query
-def recent_runs_report(s):
+def recent_runs_(s):
     return recent_runs(_runs(s)).select(
         "task", "source_instance", "status", "row_count", "started_at_utc", "error_message"
     )
@@ -379,7 +380,7 @@ def dry_run(s):
 
 
 @query
-def rule_usage(s):
+def seed_rules_(s):
     """Every seed rule with the executions it decides."""
     decided = ops.first_match(s.workload, settings.SEED_RULES, "program_name", "class_id", label=0)
     used = decided.groupBy("class_id").agg(F.sum("exec_count").alias("exec_count"))
@@ -468,6 +469,18 @@ def statement_slice(s):
     return text.groupBy("query_sql_text").agg(F.count(F.lit(1)).alias("queries"))
 
 
+@query
+def event_files(s):
+    """Exported event logs as text files, read back by glob and summed per login."""
+    folder = scratch_path(s.spark, "event-files")
+    s.event_log.select("event_data").write.text(folder)
+    return (
+        parse_events(read_events(s.spark, f"{folder}/part-*"))
+        .groupBy("login_name")
+        .agg(F.count(F.lit(1)).alias("events"), F.sum("duration").alias("duration"))
+    )
+
+
 @query
 def exclude_anti_join(s):
     idle = s.spark.createDataFrame([(w,) for w in settings.WAIT_EXCLUSIONS], "wait_type string")

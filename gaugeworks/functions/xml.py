@@ -23,6 +23,13 @@ EVENT_TEXTS = {
     "database_name": "database_name",
 }
 DEADLOCK_EVENT = "xml_deadlock_report"
+# The time in an event's opening tag.
+EVENT_TIME = r"""<event\s[^>]*?\btimestamp\s*=\s*["']([^"']*)["']"""
+
+
+def head_time(xml: Column) -> Column:
+    """The event time from the opening tag alone, NULL if it is not there: a cheap test before parsing."""
+    return iso_timestamp(F.regexp_extract(xml, EVENT_TIME, 1))
 
 
 def parsed_once(df: DataFrame, column: str, schema: str, row_tag: str, output: str) -> DataFrame:
@@ -101,8 +108,9 @@ def _resource_summary(graph: Column) -> Column:
     return _unescape(F.array_join(labels, ", "))
 
 
-def explode_deadlocks(df: DataFrame, column: str = "target_xml") -> DataFrame:
-    """One row per deadlock report inside an event buffer; other columns are kept, the buffer is dropped."""
+def split_deadlocks(df: DataFrame, column: str = "target_xml") -> DataFrame:
+    """One row per deadlock report inside an event buffer: its time and graph. Other columns are kept, the
+    buffer is dropped."""
     rest = [c for c in df.columns if c != column]
     event_pattern = r"(?s)(<event\s(?:[^<>]*)(?<!/)>.*?</event>)"
     events = df.select(
@@ -111,12 +119,15 @@ def explode_deadlocks(df: DataFrame, column: str = "target_xml") -> DataFrame:
     # The cheap test drops most other events before any pattern runs on them.
     head = F.regexp_extract("_event", r"^(<event\s[^>]*>)", 1)
     named = F.col("_event").contains(DEADLOCK_EVENT) & (_attribute(head, "name") == DEADLOCK_EVENT)
-    reports = events.where(named).select(
+    return events.where(named).select(
         *rest,
-        head.alias("_head"),
+        iso_timestamp(_attribute(head, "timestamp")).alias("event_time_utc"),
         F.regexp_extract("_event", r"(?s)(<deadlock\b.*</deadlock>)", 1).alias("deadlock_graph_xml"),
     )
 
+
+def parse_deadlocks(reports: DataFrame) -> DataFrame:
+    """Add the victim (the first listed process that is one), process count and resources of each graph."""
     parsed = parsed_once(reports, "deadlock_graph_xml", DEADLOCK_SCHEMA, "deadlock", "_graph")
     processes = F.coalesce(F.col("_graph.process-list.process"), F.array())
     victims = F.transform(F.col("_graph.victim-list.victimProcess"), lambda v: v["_id"])
@@ -125,12 +136,10 @@ def explode_deadlocks(df: DataFrame, column: str = "target_xml") -> DataFrame:
         F.filter("_processes", lambda p: F.array_contains(F.col("_victims"), p["_id"])), F.lit(1)
     )
     return listed.withColumn("_victim", victim).select(
-        *rest,
-        iso_timestamp(_attribute(F.col("_head"), "timestamp")).alias("event_time_utc"),
+        *reports.columns,
         F.col("_victim._spid").try_cast("int").alias("victim_session_id"),
         F.col("_victim._loginname").alias("victim_login"),
         F.col("_victim._clientapp").alias("victim_program"),
         F.size("_processes").alias("process_count"),
         F.nullif(_resource_summary(F.col("deadlock_graph_xml")), F.lit("")).alias("resource_summary"),
-        "deadlock_graph_xml",
     )

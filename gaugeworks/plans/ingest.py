@@ -19,11 +19,17 @@ from gaugeworks.functions.scalar import (
     statement_slice,
     truncated_mean,
 )
-from gaugeworks.functions.xml import explode_deadlocks, parse_cpu_records, parse_events
+from gaugeworks.functions.xml import (
+    head_time,
+    parse_cpu_records,
+    parse_deadlocks,
+    parse_events,
+    split_deadlocks,
+)
 from gaugeworks.operators import exclude, topk_union
 from gaugeworks.plans.live import SNAPSHOT, concurrency, user_requests, with_database_name
 from gaugeworks.schemas import TABLES
-from gaugeworks.sources.ledger import after_mark
+from gaugeworks.sources.ledger import after_mark, later, with_mark
 
 DATABASE = ["source_instance", "database_name"]
 WHO = ["login_name", "program_name", "host_name", "database_name"]
@@ -53,10 +59,9 @@ def ingest_cpu(ring_buffers: DataFrame, sys_info: DataFrame) -> DataFrame:
     clock = sys_info.select(*SNAPSHOT, "ms_ticks")
     age_us = (F.col("ms_ticks") - F.col("timestamp")) * 1000
     moment = F.timestamp_micros(F.unix_micros("snapshot_time_utc") - age_us)
-    timed = records.join(clock, SNAPSHOT).select(
-        "source_instance", F.date_trunc("minute", moment).alias("sample_time_utc"), "record"
-    )
-    return cpu_rows(parse_cpu_records(timed))
+    # Parsed before the join, so the join moves two numbers per record and not its XML.
+    samples = parse_cpu_records(records).join(clock, SNAPSHOT)
+    return cpu_rows(samples.withColumn("sample_time_utc", F.date_trunc("minute", moment)))
 
 
 def ingest_waits(
@@ -172,11 +177,15 @@ def ingest_workload(
     The window starts at the mark; on an instance's first run, at its earliest event. `min_duration_ms`
     drops faster queries.
     """
-    events, _ = split_valid(parse_events(event_log))
+    log = with_mark(event_log, marks)
+    if marks is not None:
+        # Most of a log is older than the mark: drop that part by the opening tag, before the XML parser.
+        log = later(log, head_time(F.col("event_data")), keep_unknown=True)
+    events, _ = split_valid(parse_events(log))
     if min_duration_ms is not None:
         events = events.where(F.col("duration") > min_duration_ms * 1000)
     sums = (
-        after_mark(events, marks, "event_time_utc")
+        later(events, F.col("event_time_utc"))
         .groupBy("source_instance", "mark_utc", *WHO)
         .agg(F.min("event_time_utc").alias("_first"), *_workload_sums())
     )
@@ -436,9 +445,9 @@ def pick_event_buffers(targets: DataFrame, sessions: DataFrame) -> DataFrame:
 
 def ingest_deadlocks(buffers: DataFrame, marks: DataFrame | None = None) -> DataFrame:
     """Deadlock reports after each instance's mark. All buffers are read; reports that several polls still
-    hold collapse on upsert."""
-    reports = explode_deadlocks(buffers.select("source_instance", "target_xml"))
-    return shaped(after_mark(reports, marks, "event_time_utc"), "fact_deadlock")
+    hold collapse on upsert. The mark is applied before graphs are parsed, as most reports of a poll are old."""
+    reports = split_deadlocks(buffers.select("source_instance", "target_xml"))
+    return shaped(parse_deadlocks(after_mark(reports, marks, "event_time_utc")), "fact_deadlock")
 
 
 # Task name -> (target table, builder over named raw frames and options).

@@ -9,6 +9,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gaugeworks import settings
+from gaugeworks.functions.xml import EVENT_TIME
 from gaugeworks.plans.ingest import INCREMENTAL, TASKS
 from gaugeworks.schemas import RULE_COLUMNS, TABLES
 from gaugeworks.sources.fact_table import FactTable
@@ -88,8 +89,9 @@ def run_task(
         )
 
     note(fleet_state("running", None))
+    target = store.table(table)
     try:
-        written = store.table(table).upsert(build(**raw, **options))
+        written = target.upsert(build(**raw, **options))
         counts = written.groupBy("source_instance").agg(F.count(F.lit(1)).alias("row_count"))
         if task in INCREMENTAL:
             counts = counts.join(_newest_events(raw, task), "source_instance", "left")
@@ -110,12 +112,13 @@ def run_task(
     except Exception as error:
         note(fleet_state("failed", f"{error}\n{traceback.format_exc()}"))
         raise
+    finally:
+        target.discard_staged()
 
 
 def _newest_events(raw: Mapping[str, DataFrame], task: str) -> DataFrame:
     """Newest event time per instance in the raw input, read from the event heads only (no XML parsing)."""
     column = {"workload": "event_data", "deadlocks": "target_xml"}[task]
     frame = {"workload": "event_log", "deadlocks": "buffers"}[task]
-    stamped = r"""<event\s[^>]*?timestamp\s*=\s*["']([^"']+)["']"""
-    times = F.transform(F.regexp_extract_all(F.col(column), F.lit(stamped), 1), lambda t: F.try_to_timestamp(t))
+    times = F.transform(F.regexp_extract_all(F.col(column), F.lit(EVENT_TIME), 1), lambda t: F.try_to_timestamp(t))
     return raw[frame].groupBy("source_instance").agg(F.max(F.array_max(times)).alias("high_water_utc"))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from gaugeworks.schemas import TableSpec
 from gaugeworks.session import scratch_path
+from gaugeworks.sources.files import list_names, remove
 
 DAY = "day"
 
@@ -26,6 +27,7 @@ class FactTable:
         self.spark = spark
         self.spec = spec
         self.path = path.rstrip("/")
+        self._staged: list[str] = []
 
     @property
     def _columns(self) -> str:
@@ -40,12 +42,15 @@ class FactTable:
             return self.spark.createDataFrame([], self._columns)
 
     def read(self, since: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
-        """The table's rows; the bounds (inclusive days) prune partitions."""
+        """The table's rows; the bounds (inclusive days) prune partitions. In tables dated by day, filters on
+        the date column prune them too, as it is the partition column that is shown."""
         rows = self._load()
         if since is not None:
             rows = rows.where(F.col(DAY) >= F.lit(since))
         if until is not None:
             rows = rows.where(F.col(DAY) <= F.lit(until))
+        if self.spec.types[self.spec.time] == "date":
+            rows = rows.withColumn(self.spec.time, F.col(DAY))
         return rows.drop(DAY)
 
     def append(self, rows: DataFrame) -> None:
@@ -62,6 +67,7 @@ class FactTable:
     def _stage(self, rows: DataFrame) -> DataFrame:
         """Write rows to the shared scratch folder and read them back."""
         target = scratch_path(self.spark, f"stage-{self.spec.name}")
+        self._staged.append(target)
         rows.write.parquet(target)
         return self.spark.read.schema(self._columns).parquet(target)
 
@@ -82,7 +88,7 @@ class FactTable:
 
         The batch is computed once, into a staged copy. Only the days it touches are read. A batch whose
         keys are all new is appended; otherwise its days are rewritten from the rows it does not replace
-        plus its own. The staged batch is usually the small side, so the anti join broadcasts it once its
+        plus its own. The returned frame reads the staged copy, see `discard_staged`. The staged batch is usually the small side, so the anti join broadcasts it once its
         measured size allows and leaves the old rows where they are.
         """
         extra = [c for c in sequence if c not in self.spec.names]
@@ -112,7 +118,7 @@ class FactTable:
         dropped = []
         for name, day in self._day_folders():
             if day < boundary:
-                self._delete(f"{self.path}/{name}")
+                remove(self.spark, f"{self.path}/{name}")
                 dropped.append(name)
         if not time_is_date:
             edge = self._load().where(F.col(DAY) == F.lit(boundary))
@@ -120,27 +126,18 @@ class FactTable:
             if not edge.where(F.col(self.spec.time) < F.lit(cut)).isEmpty():
                 staged = self._stage(kept)
                 if staged.isEmpty():
-                    self._delete(f"{self.path}/{DAY}={boundary}")
+                    remove(self.spark, f"{self.path}/{DAY}={boundary}")
                     dropped.append(f"{DAY}={boundary}")
                 else:
                     self._write(staged, "overwrite")
         return dropped
 
-    # Partition folders are listed and removed with the file system of the path (local, HDFS, object store).
-    def _file_system(self):
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm
-
     def _day_folders(self) -> list[tuple[str, dt.date]]:
-        fs, jvm = self._file_system()
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        if not fs.exists(root):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(root)]
         prefix = f"{DAY}="
-        return sorted((n, dt.date.fromisoformat(n[len(prefix) :])) for n in names if n.startswith(prefix))
+        names = [n for n in list_names(self.spark, self.path) if n.startswith(prefix)]
+        return sorted((n, dt.date.fromisoformat(n[len(prefix) :])) for n in names)
 
-    def _delete(self, folder: str) -> None:
-        fs, jvm = self._file_system()
-        fs.delete(jvm.org.apache.hadoop.fs.Path(folder), True)
+    def discard_staged(self) -> None:
+        """Remove the staged copies of this object's writes; frames that `upsert` returned end with them."""
+        while self._staged:
+            remove(self.spark, self._staged.pop())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gaugeworks.operators.ranking import latest_per_key
 from gaugeworks.operators.sizing import broadcast_if_small
@@ -54,9 +54,19 @@ def run_marks(runs: DataFrame, task: str) -> DataFrame:
     )
 
 
-def after_mark(events: DataFrame, marks: DataFrame | None, time: str) -> DataFrame:
-    """Events strictly later than their instance's mark, with the mark attached (NULL on a first run)."""
+def with_mark(events: DataFrame, marks: DataFrame | None) -> DataFrame:
+    """Attach each instance's mark; NULL on a first run."""
     if marks is None:
         return events.withColumn("mark_utc", F.lit(None).cast("timestamp"))
-    joined = events.join(broadcast_if_small(marks), "source_instance", "left")  # one mark per instance
-    return joined.where(F.col("mark_utc").isNull() | (F.col(time) > F.col("mark_utc")))
+    return events.join(broadcast_if_small(marks), "source_instance", "left")  # one mark per instance
+
+
+def later(marked: DataFrame, time: Column, keep_unknown: bool = False) -> DataFrame:
+    """Marked rows strictly later than their mark; `keep_unknown` also keeps those without a time."""
+    wanted = F.col("mark_utc").isNull() | (time > F.col("mark_utc"))
+    return marked.where(wanted | time.isNull() if keep_unknown else wanted)
+
+
+def after_mark(events: DataFrame, marks: DataFrame | None, time: str) -> DataFrame:
+    """Events strictly later than their instance's mark, with the mark attached."""
+    return later(with_mark(events, marks), F.col(time))

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gaugeworks.operators.deltas import counter_delta
 from gaugeworks.operators.ranking import latest_per_key
+from gaugeworks.sources.files import remove
 
 
 def stream_counter_deltas(
@@ -58,6 +59,7 @@ def stream_counter_deltas(
         marked.where(~F.col("_ahead")).select(*names).write.mode("overwrite").parquet(f"{out}/late/batch={number}")
         newest = latest_per_key(fresh.unionByName(last), keys, order)
         newest.write.mode("overwrite").parquet(f"{state}/batch={number}")
+        remove(batch.sparkSession, f"{state}/batch={number - 2}")  # a retry needs the previous state only
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)

@@ -29,6 +29,11 @@ def event_stream(
     return reader.load(path)
 
 
+def _upsert(table: FactTable, batch: DataFrame) -> None:
+    table.upsert(batch)
+    table.discard_staged()
+
+
 def _start(
     stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, every: str | None, mode: str
 ) -> StreamingQuery:
@@ -57,7 +62,7 @@ def stream_workload(
     if distinct_on:
         events = events.dropDuplicatesWithinWatermark(distinct_on)
     return _start(
-        ingest_workload_windows(events, width), lambda batch, _: table.upsert(batch), checkpoint, every, "update"
+        ingest_workload_windows(events, width), lambda batch, _: _upsert(table, batch), checkpoint, every, "update"
     )
 
 
@@ -66,7 +71,7 @@ def stream_deadlocks(
 ) -> StreamingQuery:
     """Event buffers into fact_deadlock. Reports that several buffers hold collapse on their natural key."""
     return _start(
-        ingest_deadlocks(buffers), lambda batch, _: table.upsert(batch), checkpoint, every, "append"
+        ingest_deadlocks(buffers), lambda batch, _: _upsert(table, batch), checkpoint, every, "append"
     )
 
 
@@ -79,4 +84,4 @@ def stream_facts(
 ) -> StreamingQuery:
     """Any ingest plan per micro-batch of raw snapshots, for example `ingest_waits`. A snapshot has to land
     in one file or folder drop, so that a micro-batch holds it whole."""
-    return _start(raw, lambda batch, _: table.upsert(build(batch)), checkpoint, every, "append")
+    return _start(raw, lambda batch, _: _upsert(table, build(batch)), checkpoint, every, "append")

@@ -110,3 +110,23 @@ def test_scratch_folder_is_the_one_the_session_names(spark):
     named = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: {"spark.checkpoint.dir": "/shared"}[key]))
     assert checkpoint_dir(named) == "/shared"
     assert scratch_path(named, "x") != scratch_path(named, "x")
+
+
+def test_date_filters_prune_partitions(spark, tmp_path):
+    table = FactTable(spark, TABLES["fact_health"], str(tmp_path / "h"))
+    data = [("i", d(f"2024-05-0{n}"), "db", None, None, "FULL", "ONLINE", 0) for n in range(1, 5)]
+    table.upsert(spark.createDataFrame(data, TABLES["fact_health"].columns))
+    df = table.read().where(F.col("snapshot_date") >= F.lit(d("2024-05-03")))
+    assert df.count() == 2
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+
+
+def test_staged_copies_can_be_discarded(spark, cpu):
+    written = cpu.upsert(batch(spark, ("2024-05-01 10:00:00", 1)))
+    staged = written.inputFiles()
+    assert staged
+    cpu.discard_staged()
+    with pytest.raises(Exception):
+        spark.read.parquet(*staged).count()
+    assert content(cpu) == {(t("2024-05-01 10:00:00"), 1)}

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from gaugeworks.functions.xml import explode_deadlocks, parse_cpu_records, parse_events
+from gaugeworks.functions.xml import parse_cpu_records, parse_deadlocks, parse_events, split_deadlocks
 from tests.conftest import dicts, t
 
 
@@ -70,7 +70,7 @@ GRAPH = (
 
 def deadlocks(spark, *buffers):
     df = spark.createDataFrame([("i", b) for b in buffers], "source_instance string, target_xml string")
-    return dicts(explode_deadlocks(df), "event_time_utc")
+    return dicts(parse_deadlocks(split_deadlocks(df)), "event_time_utc")
 
 
 def test_deadlocks_of_a_buffer(spark):
