@@ -391,6 +391,7 @@ def seed_rules_(s):
 # ---- primitives ----
 @query
 def counter_delta(s):
+    """Deltas over series cut into days, from a given day on."""
     return ops.counter_delta(
         s.io.select("source_instance", "database_name", "snapshot_time_utc", "event_id", "reads_cum", "writes_cum"),
         ["source_instance", "database_name"],
@@ -398,6 +399,7 @@ def counter_delta(s):
         {"reads_cum": "reads_delta", "writes_cum": "writes_delta"},
         slot="day",
         since=F.lit("2024-01-20").cast("timestamp"),
+        hot_rows=20,  # low enough that the series are cut into days at any scale
     )
 
 

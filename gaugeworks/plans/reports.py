@@ -39,7 +39,12 @@ def cpu_hour_heatmap(cpu: DataFrame) -> DataFrame:
     ).agg(mean(F.col("sql_cpu_pct")).alias("avg_sql_cpu_pct"))
 
 
-def wait_deltas(waits: DataFrame, slot: str | None = "day", tie_break: Sequence[str] = ()) -> DataFrame:
+def wait_deltas(
+    waits: DataFrame,
+    slot: str | None = "day",
+    tie_break: Sequence[str] = (),
+    hot_rows: int = settings.HOT_GROUP_ROWS,
+) -> DataFrame:
     """Wait time per snapshot interval, restart-safe, with its category."""
     deltas = counter_delta(
         waits,
@@ -47,6 +52,7 @@ def wait_deltas(waits: DataFrame, slot: str | None = "day", tie_break: Sequence[
         order=["snapshot_time_utc", *tie_break],
         counters={"wait_ms_cum": "wait_ms_delta"},
         slot=slot,
+        hot_rows=hot_rows,
     )
     return deltas.select(
         "source_instance",
@@ -308,7 +314,12 @@ def top_logins(workload: DataFrame, hot_rows: int = settings.HOT_GROUP_ROWS) ->
     return rank_within(totals, ["source_instance"], ranks, hot_rows)
 
 
-def io_latency_deltas(io: DataFrame, slot: str | None = "day", tie_break: Sequence[str] = ()) -> DataFrame:
+def io_latency_deltas(
+    io: DataFrame,
+    slot: str | None = "day",
+    tie_break: Sequence[str] = (),
+    hot_rows: int = settings.HOT_GROUP_ROWS,
+) -> DataFrame:
     """Reads, writes and stall time per snapshot interval and file, with the mean latency per IO."""
     counters = {
         "reads_cum": "reads_delta",
@@ -317,7 +328,9 @@ def io_latency_deltas(io: DataFrame, slot: str | None = "day", tie_break: Sequen
         "write_stall_ms_cum": "write_stall_ms_delta",
     }
     kept = [*FILE, "snapshot_time_utc", "file_type", "size_on_disk_bytes", *counters, *tie_break]
-    deltas = counter_delta(io.select(*kept), FILE, ["snapshot_time_utc", *tie_break], counters, slot=slot)
+    deltas = counter_delta(
+        io.select(*kept), FILE, ["snapshot_time_utc", *tie_break], counters, slot=slot, hot_rows=hot_rows
+    )
     return deltas.select(
         "source_instance",
         "snapshot_time_utc",
