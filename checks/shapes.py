@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gaugeworks import configure
 from gaugeworks.plans import ingest
+from gaugeworks.sources import spread
 
 AS_OF = dt.datetime(2001, 8, 2, 12, 30)  # "now" of the order-based facts
 EVENTS_AS_OF = dt.datetime(2024, 1, 31, 0, 30)  # "now" of the event-based facts
@@ -368,7 +369,7 @@ class Shapes:
         )
 
     def _polls(self) -> DataFrame:
-        return self.load("events").withColumns(
+        return spread(self.load("events")).withColumns(
             {
                 "source_instance": F.expr("concat('srv-', user_id % 4)"),
                 "snapshot_time_utc": F.expr("date_trunc('DAY', ts) + INTERVAL 1 DAY"),
@@ -398,7 +399,7 @@ class Shapes:
 
     @cached_property
     def event_log(self) -> DataFrame:
-        return event_xml(self.load("events"))
+        return event_xml(spread(self.load("events")))
 
     @cached_property
     def event_marks(self) -> DataFrame:
@@ -413,7 +414,7 @@ class Shapes:
 
     @cached_property
     def buffers(self) -> DataFrame:
-        return deadlock_xml(self.load("events"))
+        return deadlock_xml(spread(self.load("events")))
 
     # ---- storage, usage and index sources ----
     @cached_property
@@ -606,6 +607,7 @@ class Shapes:
         )
 
 
+# The texts are made in an explode so that filters on them cannot copy their making.
 ISO = "date_format({}, \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\")"
 
 
@@ -635,7 +637,7 @@ def event_xml(events: DataFrame) -> DataFrame:
         "'</event>'",
     ]
     return events.selectExpr(
-        "concat('srv-', user_id % 4) AS source_instance", f"concat({', '.join(parts)}) AS event_data"
+        "concat('srv-', user_id % 4) AS source_instance", f"explode(array(concat({', '.join(parts)}))) AS event_data"
     )
 
 
@@ -663,5 +665,5 @@ def deadlock_xml(events: DataFrame) -> DataFrame:
         "'</resource-list></deadlock></value></data></event></RingBufferTarget>'",
     ]
     return events.selectExpr(
-        "concat('srv-', user_id % 4) AS source_instance", f"concat({', '.join(parts)}) AS target_xml"
+        "concat('srv-', user_id % 4) AS source_instance", f"explode(array(concat({', '.join(parts)}))) AS target_xml"
     )

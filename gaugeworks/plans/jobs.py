@@ -41,8 +41,10 @@ class Store:
     def purge(self, as_of: dt.datetime, retention_days: Mapping[str, int] | None = None) -> dict[str, list[str]]:
         """Expire every fact table and the ledger; `retention_days` overrides the tables' own."""
         days = retention_days or {}
-        dropped = {name: self.table(name).purge(as_of, days.get(name)) for name in TABLES}
-        dropped["collection_run"] = self.ledger.purge(as_of, days.get("collection_run"))
+        dropped = {}
+        for table in [*map(self.table, TABLES), self.ledger.table]:
+            dropped[table.spec.name] = table.purge(as_of, days.get(table.spec.name))
+            table.discard_staged()
         return dropped
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gaugeworks.operators.ranking import latest_per_key
@@ -28,9 +26,6 @@ class RunLedger:
     def runs(self) -> DataFrame:
         return last_states(self.table.read())
 
-    def purge(self, as_of: dt.datetime, days: int | None = None) -> list[str]:
-        return self.table.purge(as_of, days)
-
 
 def last_states(states: DataFrame) -> DataFrame:
     """One row per run, in its last state."""

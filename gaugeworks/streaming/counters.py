@@ -50,7 +50,8 @@ def stream_counter_deltas(
         held = last.select(*keys, F.struct(*order).alias("_held"))
         joined = batch.join(held, list(keys), "left")
         ahead = F.col("_held").isNull() | (F.struct(*order) > F.col("_held"))
-        marked = joined.withColumn("_ahead", ahead).drop("_held")
+        # Read three times below; a lost executor's share is computed again from the files.
+        marked = joined.withColumn("_ahead", ahead).drop("_held").persist()
         fresh = marked.where("_ahead").select(*names)
 
         history = fresh.withColumn("_new", F.lit(True)).unionByName(last.withColumn("_new", F.lit(False)))
@@ -59,6 +60,7 @@ def stream_counter_deltas(
         marked.where(~F.col("_ahead")).select(*names).write.mode("overwrite").parquet(f"{out}/late/batch={number}")
         newest = latest_per_key(fresh.unionByName(last), keys, order)
         newest.write.mode("overwrite").parquet(f"{state}/batch={number}")
+        marked.unpersist()
         remove(batch.sparkSession, f"{state}/batch={number - 2}")  # a retry needs the previous state only
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from gaugeworks.plans import jobs
 from gaugeworks.plans.ingest import TASKS
 from gaugeworks.schemas import TABLES
-from gaugeworks.sources import read_events, read_raw, read_rowset
+from gaugeworks.sources import read_events, read_raw, read_rowset, spread
 from gaugeworks.sources.ledger import recent_runs, run_marks
 from tests.conftest import rows, t
 from tests.test_ingest import EVENTS, call, log, raw
@@ -107,6 +107,15 @@ def test_every_task_has_a_table():
     assert {table for table, _ in TASKS.values()} == set(TABLES)
 
 
+def test_small_inputs_are_spread_over_all_cores(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(50).coalesce(1).write.parquet(str(tmp_path / "one"))
+    few = spark.read.parquet(str(tmp_path / "one"))
+    assert spread(few).rdd.getNumPartitions() == cores and spread(few).count() == 50
+    many = spark.range(50).repartition(cores * 2)
+    assert spread(many) is many
+
+
 def test_landed_sources(spark, tmp_path):
     waits(spark).write.parquet(str(tmp_path / "w"))
     columns = "source_instance string, snapshot_time_utc timestamp, wait_type string"
