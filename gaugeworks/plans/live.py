@@ -20,7 +20,7 @@ def with_database_name(df: DataFrame, databases: DataFrame) -> DataFrame:
 
 
 def user_requests(requests: DataFrame, sessions: DataFrame, own_session_id: int | None = None) -> DataFrame:
-    """Requests of user sessions, without the collector's own."""
+    """Requests of user sessions, without the polling session itself."""
     users = sessions.where("is_user_process").select(
         *SNAPSHOT, "session_id", "login_name", "host_name", "program_name"
     )
