@@ -87,10 +87,10 @@ def attribution_hash(*parts: Column) -> Column:
 
 
 def agent_timestamp(date_int: Column, time_int: Column) -> Column:
-    """(yyyymmdd, hhmmss) integers to a timestamp."""
+    """(yyyymmdd, hhmmss) integers to a timestamp; NULL when they are none."""
     day = date_int.cast("int")
     clock = time_int.cast("int")
-    return F.make_timestamp(
+    return F.try_make_timestamp(
         (day / 10000).cast("int"),
         (day / 100).cast("int") % 100,
         day % 100,

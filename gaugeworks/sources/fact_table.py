@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -133,9 +134,8 @@ class FactTable:
         return dropped
 
     def _day_folders(self) -> list[tuple[str, dt.date]]:
-        prefix = f"{DAY}="
-        names = [n for n in list_names(self.spark, self.path) if n.startswith(prefix)]
-        return sorted((n, dt.date.fromisoformat(n[len(prefix) :])) for n in names)
+        dated = [re.fullmatch(rf"{DAY}=(\d{{4}}-\d\d-\d\d)", n) for n in list_names(self.spark, self.path)]
+        return sorted((m.group(), dt.date.fromisoformat(m.group(1))) for m in dated if m)
 
     def discard_staged(self) -> None:
         """Remove the staged copies of this object's writes; frames that `upsert` returned end with them."""

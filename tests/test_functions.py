@@ -38,6 +38,7 @@ def test_attribution_hash_keeps_places_of_missing_names(spark):
 
 def test_agent_timestamp(spark):
     assert value(spark, scalar.agent_timestamp(F.lit(20240131), F.lit(70509))) == t("2024-01-31 07:05:09")
+    assert value(spark, scalar.agent_timestamp(F.lit(0), F.lit(0))) is None
 
 
 def test_means_truncate_before_the_unit_change(spark):
