@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -11,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
+from gaugeworks.session import scratch_path
+
 #: Bytes of words: digits, letters (capitals lowered) and everything outside ASCII; all others part words.
 WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -31,27 +32,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the one that all executors share.
-
-    The session's spark.checkpoint.dir names it. Only a local session without that setting gets one of its own, since
-    on a cluster no machine sees another's disk.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        import tempfile
-
-        base = "file://" + tempfile.mkdtemp(prefix="gaugeworks-llm-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """The frame as a table in the shared folder, read back: lineage is cut, and lost executors lose nothing."""
     spark = df.sparkSession
-    path = shared_folder(spark, name)
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from gaugeworks.llm import (
     byte_bpe, decontaminate, host_reputation, language, main_text, near_join, pii, quality_ranking, quality_rules, token_files,
 )
-from gaugeworks.llm.common import held_out, shared_folder, table
+from gaugeworks.llm.common import held_out, table
+from gaugeworks.session import scratch_path
 
 WORD_TOKENIZER, BYTE_RANKS = "word_bpe_49k.json", "byte_bpe_50k.tiktoken"
 END_ID = 1
@@ -25,7 +26,7 @@ PREDICTED_FROM = 0.3
 
 
 def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
-    path = shared_folder(spark, "token-files")
+    path = scratch_path(spark, "token-files")
     token_files.write_tokens(table(spark, folder, "documents"), path, public_tokenizers.path(WORD_TOKENIZER), END_ID)
     return token_files.read_tokens(spark, path)
 
