@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from gaugeworks.llm.common import map_texts
 from gaugeworks.llm.token_files import batches
 
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 SCHEMA = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -86,7 +86,8 @@ class Codec:
         self.translate = str.maketrans(self.to_chars)
         back = {c: b for b, c in enumerate(chars)}
         self.pieces = [bytes(back[c] for c in self.processor.id_to_piece(i)) for i in range(len(ranks))]
-        self.known: dict[str, tuple[str, bytes]] = {}
+        self.decimals = [str(i) for i in range(len(ranks))]
+        self.known: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
         """Words are parted by the pattern; each new part is encoded once, and words are put together from their parts."""
@@ -96,11 +97,10 @@ class Codec:
             new = list({p for _, parts in some for p in parts} - known.keys())
             coded = [p.encode().decode("latin-1").translate(self.translate) for p in new]
             for p, ids in zip(new, self.processor.encode(coded, num_threads=1) if coded else [], strict=True):
-                known[p] = " ".join(map(str, ids)), np.array(ids, "<u4").tobytes()
+                known[p] = np.array(ids, "<u4").tobytes()
             for w, parts in some:
                 if len(parts) != 1:
-                    got = [known[p] for p in parts]
-                    known[w] = " ".join(g[0] for g in got), b"".join(g[1] for g in got)
+                    known[w] = b"".join([known[p] for p in parts])
 
     @staticmethod
     def _words(text: str) -> list[str]:
@@ -116,24 +116,24 @@ class Codec:
         first, *rest = text.split(" ")
         return [first, *[" " + w for w in rest]]
 
-    def encode(self, texts: list[str]) -> list[tuple[str, np.ndarray]]:
-        """Per text: its ids as decimals joined by a space, and as an array."""
+    def encode(self, texts: list[str]) -> list[list[int]]:
         words = [self._words(t) for t in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
         fresh = set().union(*words) - self.known.keys()
         self._learn(list(fresh))
-        out = []
-        for ws in words:
-            got = list(map(self.known.__getitem__, ws))
-            out.append((" ".join(g[0] for g in got), np.frombuffer(b"".join(g[1] for g in got), "<u4")))
+        out = [np.frombuffer(b"".join(map(self.known.__getitem__, w)), "<u4").tolist() for w in words]
         for w in fresh:
             if len(w) > 256:  # whole texts are not worth remembering
                 del self.known[w]
         return out
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, ids.tolist()))
+    def joined(self, ids: list[int]) -> bytes:
+        """Ids as decimals, joined by a space."""
+        return " ".join(map(self.decimals.__getitem__, ids)).encode()
+
+    def decode(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, ids))
 
 
 @lru_cache(maxsize=2)
@@ -153,11 +153,11 @@ def encode_documents(docs: DataFrame, rank_path: str, pattern: str, keep: Sequen
             texts = [t or "" for t in texts]
             out: list[list] = [[], [], [], []]
             for a, b in batches(texts):
-                for decimals, ids in tool.encode(texts[a:b]):
+                for ids in tool.encode(texts[a:b]):
                     out[0].append(len(ids))
-                    out[1].append(hashlib.sha256(decimals.encode()).hexdigest())
+                    out[1].append(hashlib.sha256(tool.joined(ids)).hexdigest())
                     out[2].append(hashlib.sha256(tool.decode(ids)).hexdigest())
-                    out[3].append(ids.astype(np.int32) if with_ids else None)
+                    out[3].append(np.array(ids, np.int32) if with_ids else None)
             return out[: 3 + with_ids]
 
         return run
@@ -167,4 +167,4 @@ def encode_documents(docs: DataFrame, rank_path: str, pattern: str, keep: Sequen
 
 def decode_ids(rank_path: str, pattern: str) -> Callable[[list[int]], bytes]:
     """Bytes of a list of ids."""
-    return lambda ids: codec(rank_path, pattern).decode(np.asarray(ids, np.int64))
+    return lambda ids: codec(rank_path, pattern).decode(ids)

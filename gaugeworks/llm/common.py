@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -40,25 +42,44 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch in parts of about `size` bytes of a text column; a longer text is a part of its own."""
+    total = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(total):
+        end = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + size, side="right")))
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def map_texts(
-    docs: DataFrame, keep: Sequence[str], added: str, make: Callable[[], Callable], column: str = "text", also: Sequence[str] = ()
+    docs: DataFrame,
+    keep: Sequence[str],
+    added: str,
+    make: Callable[[], Callable],
+    column: str = "text",
+    also: Sequence[str] = (),
+    slice_bytes: int = 4 << 20,
 ) -> DataFrame:
-    """The kept columns, untouched, and what a function makes of whole texts, a batch of rows at a time.
+    """The kept columns, untouched, and what a function makes of whole texts, some rows at a time.
 
-    `make()` runs once a task; what it returns takes the batch's texts (and the columns of `also`), as lists, and gives a list of values
-    for each column of the `added` schema. A kept column named like an added one is left out.
+    `make()` runs once a task; what it returns takes rows' texts (and the columns of `also`), as lists, and gives a list of values
+    for each column of the `added` schema. Rows come in slices of about `slice_bytes` of text (a longer text is a slice of its own), so
+    that memory follows neither the batch nor the partition. A kept column named like an added one is left out.
     """
     new = StructType.fromDDL(added)
     keep = [c for c in keep if c not in new.names]
-    rows = docs.select(*keep, F.col(column).alias("__text"), *(F.col(c).alias(f"__{c}") for c in also))
+    text = column if column in keep else "__text"
+    rows = docs.select(*keep, *[F.col(column).alias(text)] * (text not in keep), *(F.col(c).alias(f"__{c}") for c in also))
     schema = StructType([rows.schema[c] for c in keep] + new.fields)
     types = [to_arrow_type(f.dataType) for f in new.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
-            made = work(batch.column("__text").to_pylist(), *(batch.column(f"__{c}").to_pylist() for c in also))
+        for batch in (part for whole in batches for part in slices(whole, text, slice_bytes)):
+            made = work(batch.column(text).to_pylist(), *(batch.column(f"__{c}").to_pylist() for c in also))
             arrays = [pa.array(values, kind) for values, kind in zip(made, types, strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *arrays], names=schema.names)
+        pa.default_memory_pool().release_unused()  # workers live on
 
     return rows.mapInArrow(run, schema)

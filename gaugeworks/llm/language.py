@@ -14,16 +14,19 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import map_texts
+from gaugeworks.llm.common import map_texts, slices
+from gaugeworks.llm.token_files import batches
 
 BUCKETS = 1 << 16
 #: Log-likelihood that a change of language costs, and the share of a language's letters that makes a script its own.
 SWITCH, SCRIPT_SHARE = 8.0, 0.01
 UNKNOWN = "und"
+#: Bytes of text that are split at once, and whose words a Viterbi pass takes side by side.
+SLICE, SIDE_BY_SIDE = 1 << 19, 8 << 20
 
 #: First code point and last of each script. Fixed values of the Unicode blocks; scripts not listed share one number.
 SCRIPTS = {
@@ -150,24 +153,25 @@ class Model:
 def train(docs: DataFrame, switch: float = SWITCH, smoothing: float = 0.5) -> Model:
     """A model of the non-null `lang` values of the documents given, from their whole texts."""
 
-    def counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def counts(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
-        for frame in frames:
-            for lang, texts in frame.groupby("lang")["text"]:
-                texts = texts.tolist()
+        for batch in (part for whole in batches_ for part in slices(whole, "text", SLICE)):
+            langs, texts = (batch.column(c).to_pylist() for c in ("lang", "text"))
+            for lang in set(langs):
                 total = held.setdefault(lang, np.zeros(BUCKETS + 256, np.int64))
-                for i in range(0, len(texts), 500):
-                    w = split(texts[i : i + 500])
-                    total[:BUCKETS] += np.bincount(w.bucket, minlength=BUCKETS)
-                    total[BUCKETS:] += np.bincount(w.script, minlength=256)
+                w = split([t for x, t in zip(langs, texts, strict=True) if x == lang])
+                total[:BUCKETS] += np.bincount(w.bucket, minlength=BUCKETS)
+                total[BUCKETS:] += np.bincount(w.script, minlength=256)
         for lang, total in held.items():
             bucket = np.flatnonzero(total)
-            yield pd.DataFrame({"lang": lang, "bucket": bucket, "n": total[bucket]})
+            arrays = [pa.array([lang] * len(bucket)), pa.array(bucket, pa.int32()), pa.array(total[bucket], pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["lang", "bucket", "n"])
+        pa.default_memory_pool().release_unused()
 
     # at most BUCKETS + 256 rows a language
     rows = (
         docs.where("lang is not null and text is not null").select("lang", "text")
-        .mapInPandas(counts, "lang string, bucket int, n long")
+        .mapInArrow(counts, "lang string, bucket int, n long")
         .groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
         .toPandas()
     )
@@ -181,7 +185,7 @@ def train(docs: DataFrame, switch: float = SWITCH, smoothing: float = 0.5) -> Mo
     return Model(languages, scores, scripts, switch)
 
 
-def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), with_spans: bool = False) -> DataFrame:
+def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), with_spans: bool = False, column: str = "text") -> DataFrame:
     """The kept columns with lang_pred, score (the share of letters in its spans), and the spans if asked for.
 
     Spans are runs of words of one language: first word, word behind the last, language. Null texts and texts without a letter
@@ -197,13 +201,14 @@ def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), w
         def run(texts: list[str | None]) -> list[list]:
             texts = ["" if t is None else t for t in texts]
             parts = []
-            for i in range(0, len(texts) if m.languages else 0, 500):
-                w = split(texts[i : i + 500])
-                parts.append((m.of_words(w), w.letters, w.counts))
+            for a, b in batches(texts if m.languages else [], SLICE):
+                w = split(texts[a:b])
+                parts.append((m.of_words(w), w.letters.astype(np.int32), w.counts))
             lang, share = np.full(len(texts), len(m.languages)), np.zeros(len(texts))
             spans: list[list] = [[] for _ in texts]
-            if parts:
+            if m.languages and texts:
                 score, letter, count = (np.concatenate(x) for x in zip(*parts, strict=True))
+                parts.clear()
                 path = m.path(score, count)
                 held = np.zeros((len(texts), len(m.languages)))
                 np.add.at(held, (np.repeat(np.arange(len(texts)), count), path), letter)
@@ -221,11 +226,11 @@ def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), w
 
         return run
 
-    return map_texts(docs, keep, added if with_spans else added.rpartition(", spans")[0], make)
+    return map_texts(docs, keep, added if with_spans else added.rpartition(", spans")[0], make, column, slice_bytes=SIDE_BY_SIDE)
 
 
 def keep_known(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """Documents whose language the model knows by at least that share of their letters, with their own columns."""
-    renamed = docs.toDF(*(f"c_{c}" for c in docs.columns)).withColumn("text", F.col("c_text"))
-    known = identify(renamed, model, [f"c_{c}" for c in docs.columns])
+    renamed = docs.toDF(*(f"c_{c}" for c in docs.columns))  # no name clashes with a new one
+    known = identify(renamed, model, renamed.columns, column="c_text")
     return known.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).drop("lang_pred", "score").toDF(*docs.columns)

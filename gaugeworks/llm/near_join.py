@@ -27,7 +27,7 @@ from gaugeworks.llm.components import components
 SHINGLE, THRESHOLD, TREES, DEPTH, RECALL = 5, 0.8, 24, 10, 0.9999
 #: Classes and shingles of a block. Two blocks are in memory at once.
 BLOCK_CLASSES, BLOCK_SHINGLES = 256, 400_000
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 

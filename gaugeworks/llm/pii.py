@@ -191,7 +191,7 @@ def fit(counts: dict[tuple[str, tuple[int, ...]], int], penalty: float = 1.0) ->
 FOUND = "array<struct<kind:string,start:int,end:int,strict:boolean,votes:string>>"
 
 
-def find_spans(docs: DataFrame, keep: Sequence[str] = ("doc_id",), sure: float = SURE) -> DataFrame:
+def find_spans(docs: DataFrame, keep: Sequence[str] = ("doc_id",), sure: float = SURE, column: str = "text") -> DataFrame:
     """The kept columns with `found`: kind, start, end (behind the last code point), strict, votes and score of each span, in order.
 
     Null and empty texts have none; texts are taken whole, and every row gives one row, repeated ones too. The models are fitted to the
@@ -202,7 +202,7 @@ def find_spans(docs: DataFrame, keep: Sequence[str] = ("doc_id",), sure: float =
         return lambda texts: [[[dict(zip(("kind", "start", "end", "strict", "votes"), s, strict=True)) for s in candidates(t)] if t else [] for t in texts]]
 
     keep = [c for c in keep if c != "found"]
-    rows = written(map_texts(docs, keep, f"found {FOUND}", make), "spans")
+    rows = written(map_texts(docs, keep, f"found {FOUND}", make, column), "spans")
     # at most 3 to the number of labelers rows a kind
     counted = rows.select(F.explode("found").alias("s")).groupBy("s.kind", "s.votes").count().collect()
     model = fit({(r[0], tuple(map(int, r[1].split(",")))): r[2] for r in counted})
@@ -218,7 +218,7 @@ def redact(docs: DataFrame, sure: float = SURE) -> DataFrame:
     Overlapping spans of several kinds become one, named by the first.
     """
     columns = docs.columns
-    plain = docs.toDF(*(f"c_{c}" for c in columns)).withColumn("text", F.col("c_text"))
+    plain = docs.toDF(*(f"c_{c}" for c in columns))  # no name clashes with a new one
 
     def masked(text: str | None, found: list[dict]) -> str | None:
         if not found:
@@ -233,7 +233,7 @@ def redact(docs: DataFrame, sure: float = SURE) -> DataFrame:
     def make() -> Callable:
         return lambda texts, found: [[masked(t, f) for t, f in zip(texts, found, strict=True)]]
 
-    spans = find_spans(plain, [f"c_{c}" for c in columns], sure)
+    spans = find_spans(plain, plain.columns, sure, "c_text")
     new = map_texts(spans, [f"c_{c}" for c in columns], "new_text string", make, "c_text", ("found",))
     new = new.withColumn("c_text", F.col("new_text"))
     if "n_chars" in columns:
