@@ -401,7 +401,6 @@ def counter_delta(s):
         {"reads_cum": "reads_delta", "writes_cum": "writes_delta"},
         slot="day",
         since=F.lit("2024-01-20").cast("timestamp"),
-        hot_rows=20,  # low enough that the series are cut into days at any scale
     )
 
 

@@ -1,11 +1,9 @@
 from gaugeworks.operators.deltas import counter_delta
 from gaugeworks.operators.joins import asof_lookback, exclude, expand_dotted, first_match
 from gaugeworks.operators.ranking import latest_date_per_group, latest_per_key, rank_within, topk_union
-from gaugeworks.operators.sizing import broadcast_if_small
 
 __all__ = [
     "asof_lookback",
-    "broadcast_if_small",
     "counter_delta",
     "exclude",
     "expand_dotted",

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-# More rules than this in a rule table means a wrong table was passed, not a longer rule list.
-RULE_TABLE_LIMIT = 10_000
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def asof_lookback(
@@ -21,37 +20,33 @@ def asof_lookback(
 ) -> DataFrame:
     """Attach the newest history row at least `days` before each current row; unmatched rows stay.
 
-    An equi join on the keys with the date bound as a residual (no nested loop), narrowed to one match per
-    current row by max_by. `current` needs one row per (keys, date).
+    Both sides meet in one window per key, ordered by the date from which a row counts, and each current row takes the last history
+    row before it: linear in the rows, one shuffle. Rows of one date are decided by the largest carried values. NULL keys match nothing.
     """
-    wanted = current.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(date).alias("_at"))
-    match = F.col(date) <= F.date_sub(F.col("_at"), days)
-    for k in keys:
-        match = match & (F.col(k) == F.col(f"_k_{k}"))
-    found = (
-        history.select(*keys, date, *carry)
-        .join(wanted, match)
-        .groupBy(*[F.col(f"_k_{k}").alias(k) for k in keys], F.col("_at").alias(date))
-        .agg(F.max(F.struct(F.col(date), *carry)).alias("_found"))
-        .select(
-            *keys,
-            date,
-            F.col(f"_found.{date}").alias(f"{prefix}{date}"),
-            *[F.col(f"_found.{c}").alias(f"{prefix}{c}") for c in carry],
-        )
+    taken = F.struct(F.col(date), *carry)
+    old = history.select(*keys, F.col(date).alias("_at"), F.lit(0).alias("_now"), taken.alias("_old"))
+    row = F.struct(*current.columns)
+    now = current.select(*keys, F.date_sub(F.col(date), days).alias("_at"), F.lit(1).alias("_now"), row.alias("_row"))
+    both = now.unionByName(old, allowMissingColumns=True)
+    known = reduce(or_, [F.col(k).isNull() for k in keys])
+    before = Window.partitionBy(*keys).orderBy("_at", "_now", "_old").rowsBetween(Window.unboundedPreceding, -1)
+    found = both.withColumn("_found", F.when(~known, F.last("_old", ignorenulls=True).over(before))).where("_now = 1")
+    return found.select(
+        "_row.*", F.col(f"_found.{date}").alias(f"{prefix}{date}"), *[F.col(f"_found.{c}").alias(f"{prefix}{c}") for c in carry]
     )
-    return current.join(found, [*keys, date], "left")
 
 
-def rule_rows(rules: DataFrame | Sequence[tuple]) -> list[tuple]:
-    """Rules in evaluation order as (class_id, priority, pattern, category) tuples. A rule table is a
-    hand-edited dimension, so it may come to the driver; anything larger than a rule table is refused."""
-    if isinstance(rules, DataFrame):
-        columns = ["class_id", "priority", "program_like", "workload_category"]
-        rules = [tuple(r) for r in rules.select(*columns).take(RULE_TABLE_LIMIT + 1)]
-        if len(rules) > RULE_TABLE_LIMIT:
-            raise ValueError("the rule table holds more rows than a rule list can")
-    return sorted((r[:4] for r in rules), key=lambda r: (r[1], r[0]))
+def like_regex(pattern: Column) -> Column:
+    """A LIKE pattern as a regular expression: % and _ are wildcards, [...] and [^...] are classes, all else is literal."""
+    pieces = F.regexp_extract_all(pattern, F.lit(r"(\[[^\]]+\]|[\s\S])"), F.lit(1))
+    one = F.transform(
+        pieces,
+        lambda p: F.when(p == "%", ".*")
+        .when(p == "_", ".")
+        .when(F.length(p) > 1, F.regexp_replace(p, r"([\\&]|(?<=.)\[)", r"\\$1"))
+        .otherwise(F.regexp_replace(p, r"([^A-Za-z0-9\s])", r"\\$1")),
+    )
+    return F.concat(F.lit("(?s)^"), F.array_join(one, ""), F.lit("$"))
 
 
 def first_match(
@@ -63,23 +58,31 @@ def first_match(
     case_sensitive: bool = False,
     label: int = 3,
 ) -> DataFrame:
-    """Label each row with the first rule whose LIKE pattern its text matches, lowest priority number first.
+    """Label each row with the first rule whose LIKE pattern its text matches, lowest priority number first, then lowest class id.
 
-    The rules become one CASE expression, so nothing is joined or shuffled. NULL text matches no rule.
+    A list of rules, (class_id, priority, pattern, category), becomes one CASE expression, so nothing is joined or shuffled. A rule table
+    meets the distinct texts only, and their labels come back by an equi join. NULL text matches no rule.
     `label` picks the rule field to emit (3 = category, 0 = class id).
     """
-    ordered = rule_rows(rules)
+    columns = ["class_id", "priority", "program_like", "workload_category"]
+    folded = F.col(text) if case_sensitive else F.lower(F.col(text))
+    if isinstance(rules, DataFrame):
+        pattern = F.col("program_like") if case_sensitive else F.lower("program_like")
+        table = rules.select(F.struct("priority", "class_id").alias("_at"), F.col(columns[label]).alias("_label"), like_regex(pattern).alias("_like"))
+        names = df.select(folded.alias("_name")).where("_name is not null").distinct()
+        decided = names.join(table, F.expr("rlike(_name, _like)")).groupBy("_name").agg(F.min(F.struct("_at", "_label")).alias("_first"))
+        decided = decided.select("_name", F.col("_first._label").alias("_label"), F.lit(True).alias("_hit"))
+        labelled = df.join(decided, folded == F.col("_name"), "left")
+        found = F.when(F.col("_hit"), F.col("_label")).otherwise(F.lit(default))
+        return labelled.withColumn(output, found).drop("_name", "_label", "_hit")
+    ordered = sorted((r[:4] for r in rules), key=lambda r: (r[1], r[0]))
     if not ordered:
         return df.withColumn(output, F.lit(default).cast("string"))
-    subject = F.col("_subject")
     chain: Column | None = None
     for rule in ordered:
-        pattern = rule[2] if case_sensitive else rule[2].lower()
-        hit = subject.like(pattern)
+        hit = F.rlike("_subject", like_regex(F.lit(rule[2] if case_sensitive else rule[2].lower())))
         chain = F.when(hit, F.lit(rule[label])) if chain is None else chain.when(hit, F.lit(rule[label]))
-    folded = F.col(text) if case_sensitive else F.lower(F.col(text))
-    labelled = df.withColumn("_subject", folded).withColumn(output, chain.otherwise(F.lit(default)))
-    return labelled.drop("_subject")
+    return df.withColumn("_subject", folded).withColumn(output, chain.otherwise(F.lit(default))).drop("_subject")
 
 
 def expand_dotted(df: DataFrame, name: str, output: str) -> DataFrame:

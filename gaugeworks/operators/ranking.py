@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gaugeworks.operators.sizing import broadcast_if_small
 from gaugeworks.settings import HOT_GROUP_ROWS
 
 
@@ -23,12 +22,11 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 def latest_date_per_group(df: DataFrame, keys: Sequence[str], date: str) -> DataFrame:
     """All rows of each group's latest date.
 
-    The maximum is a map-side combined aggregate of one row per group. Its rows are counted first: a small
-    result is broadcast, so the facts are filtered in place; a large one meets them in a shuffled join. A
-    window would pull a whole group into one task.
+    The maximum is a map-side combined aggregate of one row per group, joined back; adaptive execution broadcasts it
+    if its measured size allows, and splits skewed groups otherwise. A window would pull a whole group into one task.
     """
     newest = df.groupBy(*keys).agg(F.max(date).alias(date))
-    return df.join(broadcast_if_small(newest), [*keys, date], "left_semi")
+    return df.join(newest, [*keys, date], "left_semi")
 
 
 def topk_union(

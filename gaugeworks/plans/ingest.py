@@ -31,13 +31,16 @@ from gaugeworks.plans.live import SNAPSHOT, concurrency, user_requests, with_dat
 from gaugeworks.schemas import TABLES
 from gaugeworks.sources.ledger import after_mark, later, with_mark
 
+SEQUENCE = "_polled_at"
 DATABASE = ["source_instance", "database_name"]
 WHO = ["login_name", "program_name", "host_name", "database_name"]
 
 
-def shaped(df: DataFrame, table: str) -> DataFrame:
-    """Exactly the table's columns, in its order and types."""
-    return df.select(*[F.col(c).cast(kind).alias(c) for c, kind in TABLES[table].types.items()])
+def shaped(df: DataFrame, table: str, sequenced: bool = False) -> DataFrame:
+    """Exactly the table's columns, in its order and types; with the poll time too if `sequenced`, so that of several polls of
+    a day the last one wins."""
+    polled = [F.col("snapshot_time_utc").alias(SEQUENCE)] if sequenced else []
+    return df.select(*[F.col(c).cast(kind).alias(c) for c, kind in TABLES[table].types.items()], *polled)
 
 
 def _dated(df: DataFrame) -> DataFrame:
@@ -45,8 +48,9 @@ def _dated(df: DataFrame) -> DataFrame:
 
 
 def cpu_rows(samples: DataFrame) -> DataFrame:
-    """CPU samples with the share of other processes, never below zero."""
-    other = F.greatest(F.lit(0), F.lit(100) - F.col("sql_cpu_pct") - F.col("idle_pct"))
+    """CPU samples with the share of other processes, never below zero; unknown where a reading is."""
+    rest = F.lit(100) - F.col("sql_cpu_pct") - F.col("idle_pct")
+    other = F.when(rest.isNotNull(), F.greatest(F.lit(0), rest))
     return shaped(samples.withColumn("other_cpu_pct", other), "fact_cpu")
 
 
@@ -233,7 +237,9 @@ def ingest_concurrency(
     return shaped(figures.withColumnRenamed("snapshot_time_utc", "sample_time_utc"), "fact_concurrency")
 
 
-def ingest_storage(partition_stats: DataFrame, tables: DataFrame, schemas: DataFrame) -> DataFrame:
+def ingest_storage(
+    partition_stats: DataFrame, tables: DataFrame, schemas: DataFrame, sequenced: bool = False
+) -> DataFrame:
     """Rows and space per table. Rows count once (heap or clustered index); the data share takes in-row,
     large-object and overflow pages of all indexes, and the index share is the rest of the used pages."""
     named = tables.where(~F.col("is_ms_shipped")).select(
@@ -267,6 +273,7 @@ def ingest_storage(partition_stats: DataFrame, tables: DataFrame, schemas: DataF
             }
         ),
         "fact_table_storage",
+        sequenced,
     )
 
 
@@ -286,6 +293,7 @@ def ingest_index_ops(
     indexes: DataFrame,
     objects: DataFrame,
     schemas: DataFrame,
+    sequenced: bool = False,
 ) -> DataFrame:
     """Missing indexes with their estimated gain, and unused ones (never read, still written)."""
     names = _object_names(objects, schemas)
@@ -338,10 +346,12 @@ def ingest_index_ops(
             F.lit(None).cast("string").alias("detail"),
         )
     )
-    return shaped(_dated(missing.unionByName(unused)), "fact_index_ops")
+    return shaped(_dated(missing.unionByName(unused)), "fact_index_ops", sequenced)
 
 
-def ingest_table_access(usage_stats: DataFrame, objects: DataFrame, schemas: DataFrame) -> DataFrame:
+def ingest_table_access(
+    usage_stats: DataFrame, objects: DataFrame, schemas: DataFrame, sequenced: bool = False
+) -> DataFrame:
     """Cumulative accesses per user table, all of its indexes together."""
     user_tables = objects.where((F.col("type") == "U") & ~F.col("is_ms_shipped")).select(
         *DATABASE, "object_id", "schema_id", F.col("name").alias("table_name")
@@ -368,11 +378,11 @@ def ingest_table_access(usage_stats: DataFrame, objects: DataFrame, schemas: Dat
         .groupBy("snapshot_date", *SNAPSHOT, "database_name", "schema_name", "table_name")
         .agg(*[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(c) for c in times])
     )
-    return shaped(rolled, "fact_table_usage")
+    return shaped(rolled, "fact_table_usage", sequenced)
 
 
 def ingest_health(
-    databases: DataFrame, backups: DataFrame, job_history: DataFrame, jobs: DataFrame
+    databases: DataFrame, backups: DataFrame, job_history: DataFrame, jobs: DataFrame, sequenced: bool = False
 ) -> DataFrame:
     """Backup times, state and failed jobs per user database and snapshot. `backups` and `job_history` are
     the histories as seen by that snapshot; times are UTC. Failed jobs of the last 24 hours are counted per
@@ -397,7 +407,7 @@ def ingest_health(
         .join(failures, SNAPSHOT, "left")
         .withColumn("job_failures_24h", F.coalesce("_failures", F.lit(0)))
     )
-    return shaped(joined.withColumnRenamed("recovery_model_desc", "recovery_model"), "fact_health")
+    return shaped(joined.withColumnRenamed("recovery_model_desc", "recovery_model"), "fact_health", sequenced)
 
 
 def ingest_io_latency(file_stats: DataFrame, master_files: DataFrame, databases: DataFrame) -> DataFrame:
@@ -467,3 +477,5 @@ TASKS: Mapping[str, tuple] = {
     "deadlocks": ("fact_deadlock", ingest_deadlocks),
 }
 INCREMENTAL = {"workload", "deadlocks"}
+# Tasks whose tables keep one row per day: their builders can carry the poll time, which orders polls of one day.
+DAILY = {"storage", "index_ops", "table_access", "health"}

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gaugeworks import settings
 from gaugeworks.functions.xml import EVENT_TIME
-from gaugeworks.plans.ingest import INCREMENTAL, TASKS
+from gaugeworks.plans.ingest import DAILY, INCREMENTAL, SEQUENCE, TASKS
 from gaugeworks.schemas import RULE_COLUMNS, TABLES
 from gaugeworks.sources.fact_table import FactTable
 from gaugeworks.sources.ledger import RunLedger, run_marks
@@ -93,7 +93,10 @@ def run_task(
     note(fleet_state("running", None))
     target = store.table(table)
     try:
-        written = target.upsert(build(**raw, **options))
+        if task in DAILY:
+            written = target.upsert(build(**raw, sequenced=True, **options), [SEQUENCE])
+        else:
+            written = target.upsert(build(**raw, **options))
         counts = written.groupBy("source_instance").agg(F.count(F.lit(1)).alias("row_count"))
         if task in INCREMENTAL:
             counts = counts.join(_newest_events(raw, task), "source_instance", "left")

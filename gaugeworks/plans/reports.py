@@ -43,7 +43,6 @@ def wait_deltas(
     waits: DataFrame,
     slot: str | None = "day",
     tie_break: Sequence[str] = (),
-    hot_rows: int = settings.HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Wait time per snapshot interval, restart-safe, with its category."""
     deltas = counter_delta(
@@ -52,7 +51,6 @@ def wait_deltas(
         order=["snapshot_time_utc", *tie_break],
         counters={"wait_ms_cum": "wait_ms_delta"},
         slot=slot,
-        hot_rows=hot_rows,
     )
     return deltas.select(
         "source_instance",
@@ -318,7 +316,6 @@ def io_latency_deltas(
     io: DataFrame,
     slot: str | None = "day",
     tie_break: Sequence[str] = (),
-    hot_rows: int = settings.HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Reads, writes and stall time per snapshot interval and file, with the mean latency per IO."""
     counters = {
@@ -329,7 +326,7 @@ def io_latency_deltas(
     }
     kept = [*FILE, "snapshot_time_utc", "file_type", "size_on_disk_bytes", *counters, *tie_break]
     deltas = counter_delta(
-        io.select(*kept), FILE, ["snapshot_time_utc", *tie_break], counters, slot=slot, hot_rows=hot_rows
+        io.select(*kept), FILE, ["snapshot_time_utc", *tie_break], counters, slot=slot
     )
     return deltas.select(
         "source_instance",

@@ -12,13 +12,13 @@ SEED_RULES = [
     (7, 31, "%ReportingServices%", "Reporting/SSRS", None),
     (8, 40, "%Azure Data Factory%", "ETL/ADF", None),
     (9, 41, "%azure-sql-%", "ETL/ADF", None),
-    (10, 50, "%Management Studio%", "Admin/SSMS", "interactive / ad-hoc"),
+    (10, 50, "%Management Studio%", "Admin/SSMS", None),
     (11, 51, "SQLCMD%", "Admin/CLI", None),
     (12, 52, "%azdata%", "Admin/CLI", None),
-    (13, 60, "%.Net SqlClient%", "App (generic)", "set Application Name= to refine"),
-    (14, 61, "%ODBC%", "App/Extract (ODBC)", "often ad-hoc extracts"),
+    (13, 60, "%.Net SqlClient%", "App (generic)", None),
+    (14, 61, "%ODBC%", "App/Extract (ODBC)", None),
     (15, 62, "%jdbc%", "App/Extract (JDBC)", None),
-    (99, 999, "%", "Unknown", "catch-all"),
+    (99, 999, "%", "Unknown", None),
 ]
 
 UNKNOWN_CATEGORY = "Unknown"
@@ -67,5 +67,3 @@ SCHEDULER_ID_LIMIT = 255
 EVENT_MIN_DURATION_MS = 1000
 # A group above this many rows is ranked in pieces (see operators.ranking).
 HOT_GROUP_ROWS = 4_000_000
-# A narrow lookup side (a key and a value or two per row) up to this many rows may be broadcast.
-BROADCAST_ROWS = 500_000

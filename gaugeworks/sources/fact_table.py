@@ -34,6 +34,10 @@ class FactTable:
     def _columns(self) -> str:
         return f"{self.spec.columns}, {DAY} date"
 
+    @property
+    def undated_path(self) -> str:
+        return f"{self.path}_undated"
+
     def _load(self) -> DataFrame:
         try:
             return self.spark.read.schema(self._columns).parquet(self.path)
@@ -62,7 +66,8 @@ class FactTable:
         """One row per key: the last by `sequence`, then by the remaining columns so that a rerun agrees."""
         others = [c for c in self.spec.names if c not in self.spec.key]
         order = [F.col(c).desc() for c in [*sequence, *others]]
-        newest = Window.partitionBy(*self.spec.key).orderBy(*order)
+        lone = F.when(F.col(DAY).isNull(), F.monotonically_increasing_id())  # rows without a day replace nothing
+        newest = Window.partitionBy(*self.spec.key, lone).orderBy(*order)
         return batch.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
 
     def _stage(self, rows: DataFrame) -> DataFrame:
@@ -87,6 +92,8 @@ class FactTable:
         """Insert or replace by natural key (NULL key parts match each other); returns the batch's rows as
         written. A replayed batch leaves the table unchanged.
 
+        Rows without a time belong to no day. They are set aside, all of them, in the folder `undated_path` and are not part of the table.
+
         The batch is computed once, into a staged copy. Only the days it touches are read. A batch whose
         keys are all new is appended; otherwise its days are rewritten from the rows it does not replace
         plus its own. The returned frame reads the staged copy, see `discard_staged`. The staged batch is usually the small side, so the anti join broadcasts it once its
@@ -94,7 +101,11 @@ class FactTable:
         """
         extra = [c for c in sequence if c not in self.spec.names]
         dated = batch.select(*self.spec.names, *extra).withColumn(DAY, F.to_date(self.spec.time))
-        staged = self._stage(self._last_of_batch(dated, sequence).drop(*extra))
+        everything = self._stage(self._last_of_batch(dated, sequence).drop(*extra))
+        staged = everything.where(F.col(DAY).isNotNull())
+        undated = everything.where(F.col(DAY).isNull())
+        if not undated.isEmpty():
+            undated.drop(DAY).write.mode("append").parquet(self.undated_path)
         days = [row[0] for row in staged.select(DAY).distinct().collect()]  # calendar days only
         if not days:
             return staged.drop(DAY)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gaugeworks.operators.ranking import latest_per_key
-from gaugeworks.operators.sizing import broadcast_if_small
 from gaugeworks.schemas import RUNS
 from gaugeworks.settings import RECENT_RUNS
 from gaugeworks.sources.fact_table import FactTable
@@ -53,7 +52,7 @@ def with_mark(events: DataFrame, marks: DataFrame | None) -> DataFrame:
     """Attach each instance's mark; NULL on a first run."""
     if marks is None:
         return events.withColumn("mark_utc", F.lit(None).cast("timestamp"))
-    return events.join(broadcast_if_small(marks), "source_instance", "left")  # one mark per instance
+    return events.join(marks, "source_instance", "left")  # one mark per instance
 
 
 def later(marked: DataFrame, time: Column, keep_unknown: bool = False) -> DataFrame:

@@ -50,31 +50,33 @@ def test_slots_do_not_change_the_result(spark, slot):
         minutes = rng.sample(range(6 * 24 * 60), {"hot": 400, "warm": 40, "lone": 1}[k])
         data += [(k, START + dt.timedelta(minutes=m), rng.randrange(50), rng.randrange(50)) for m in minutes]
     df = spark.createDataFrame(data, COLUMNS).repartition(5)
-    for hot_rows in [0, 100, 10**6]:  # all series sliced, only the hot one, none
-        assert rows(deltas(df, slot=slot, hot_rows=hot_rows)) == brute(data)
+    assert rows(deltas(df, slot=slot)) == brute(data)
 
 
 @pytest.mark.parametrize("slot", [None, "day"])
 def test_since_keeps_the_delta_across_the_cut(spark, slot):
     data = [("x", START + dt.timedelta(days=n), 100 - n if n == 4 else n * 10, n) for n in range(8)]
     cut = START + dt.timedelta(days=4)
-    got = rows(deltas(spark.createDataFrame(data, COLUMNS), slot=slot, hot_rows=0, since=F.lit(cut)))
+    got = rows(deltas(spark.createDataFrame(data, COLUMNS), slot=slot, since=F.lit(cut)))
     assert got == {r for r in brute(data) if r[1] >= cut}
 
 
 def test_ties_are_ordered_by_the_further_order_columns(spark):
     data = [("x", START, 2, 20), ("x", START, 1, 10), ("x", START + dt.timedelta(hours=1), 3, 35)]
     df = spark.createDataFrame(data, "k string, at timestamp, n int, a long")
-    got = counter_delta(df, ["k"], ["at", "n"], {"a": "da"}, slot="hour", hot_rows=0)
+    got = counter_delta(df, ["k"], ["at", "n"], {"a": "da"}, slot="hour")
     assert rows(got.select("n", "da")) == {(2, 10), (3, 15)}
 
 
-def test_plan_without_a_large_series_has_one_shuffle(spark):
-    data = [("x", START + dt.timedelta(hours=n), n, n) for n in range(5)]
-    plan = deltas(spark.createDataFrame(data, COLUMNS), slot="hour")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+def test_null_keys_are_one_series(spark):
+    data = [(k, START + dt.timedelta(hours=30 * n), n, n) for k in ("x", None) for n in range(5)]
+    got = rows(deltas(spark.createDataFrame(data, COLUMNS), slot="day"))
+    assert {r[1:] for r in got if r[0] is None} == {r[1:] for r in got if r[0] == "x"} and len(got) == 8
 
 
-def test_unknown_counter_is_refused(spark):
-    with pytest.raises(ValueError):
-        counter_delta(spark.createDataFrame([], COLUMNS), ["k"], ["at"], {"missing": "d"})
+def test_planning_runs_no_job(spark):
+    data = spark.createDataFrame([("x", START + dt.timedelta(hours=n), n, n) for n in range(5)], COLUMNS)
+    spark.sparkContext.setJobGroup("planning", "")
+    deltas(data, slot="hour")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -98,3 +99,27 @@ def test_exclude_list_and_table_agree(spark):
     listed = spark.createDataFrame([("a",), ("a",)], "x string")
     assert rows(exclude(df, "w", ["a"])) == rows(exclude(df, "w", listed)) == {("b",), (None,)}
     assert exclude(df, "w", []).count() == 3
+
+
+def test_asof_is_linear_in_one_key(spark):
+    days = spark.range(50_000).selectExpr("'k' k", "date_add(date'1900-01-01', cast(id as int)) day", "id kb")
+    start = time.perf_counter()
+    got = asof_lookback(days, days, ["k"], "day", 30, ["kb"]).where("prior_kb is not null and prior_kb != kb - 30").count()
+    assert got == 0 and time.perf_counter() - start < 20
+
+
+def test_asof_ties_and_null_keys(spark):
+    now = spark.createDataFrame([("a", d("2024-02-01"), 5), (None, d("2024-02-01"), 6)], "k string, day date, kb long")
+    old = spark.createDataFrame([("a", d("2024-01-02"), 1), ("a", d("2024-01-02"), 9), (None, d("2024-01-01"), 3)], "k string, day date, kb long")
+    assert rows(asof_lookback(now, old, ["k"], "day", 30, ["kb"]).select("kb", "prior_kb")) == {(5, 9), (6, None)}
+
+
+@pytest.mark.parametrize("as_table", [False, True])
+def test_pattern_language(spark, as_table):
+    rules = [(1, 1, "CORP\\app%", "slash", None), (2, 2, "a[_]b", "literal", None), (3, 3, "x[a-c]y", "class", None), (4, 4, "n[^0-9]%", "not", None), (5, 5, "p.q_", "dot", None)]
+    programs = ["corp\\app 1", "a_b", "axb", "xby", "xdy", "nz", "n1", "p.qz", "pxqz", None]
+    table = spark.createDataFrame(rules, "class_id int, priority int, program_like string, workload_category string, notes string") if as_table else rules
+    assert classify(spark, programs, table) == {
+        "corp\\app 1": "slash", "a_b": "literal", "axb": "Unknown", "xby": "class", "xdy": "Unknown", "nz": "not", "n1": "Unknown",
+        "p.qz": "dot", "pxqz": "Unknown", None: "Unknown",
+    }
