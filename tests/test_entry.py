@@ -3,6 +3,7 @@ import os
 import pytest
 
 import __spark_entry__ as driver
+from checks import oracle, registry
 from checks.compare import connection, differs
 
 SF = "/root/testdata/sf0.001"
@@ -22,6 +23,7 @@ def test_flagship(spark):
 
 def test_every_statement_has_a_query():
     assert set(driver.oracle_sql()) <= set(driver.queries())
+    assert set(oracle.statements()) == set(registry.callables())
 
 
 @pytest.mark.parametrize("name", sorted(driver.queries()))
