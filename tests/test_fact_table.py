@@ -130,3 +130,17 @@ def test_staged_copies_can_be_discarded(spark, cpu):
     with pytest.raises(Exception):
         spark.read.parquet(*staged).count()
     assert content(cpu) == {(t("2024-05-01 10:00:00"), 1)}
+
+
+def test_rows_without_a_time_are_set_aside_one_by_one(spark, cpu):
+    undated = [("i", None, 1, 0, 9), ("i", None, 1, 0, 9)]
+    rows_ = [*undated, ("i", t("2024-05-01 10:00:00"), 5, 0, 95)]
+    written = cpu.upsert(spark.createDataFrame(rows_, TABLES["fact_cpu"].columns))
+    assert written.count() == 1 and content(cpu) == {(t("2024-05-01 10:00:00"), 5)}
+    assert spark.read.parquet(cpu.undated_path).count() == 2
+
+
+def test_the_last_by_sequence_wins_not_the_largest(spark, cpu):
+    polls = [("i", t("2024-05-01 10:00:00"), pct, 0, 0, n) for n, pct in enumerate((90, 10))]
+    cpu.upsert(spark.createDataFrame(polls, TABLES["fact_cpu"].columns + ", polled int"), ["polled"])
+    assert content(cpu) == {(t("2024-05-01 10:00:00"), 10)}

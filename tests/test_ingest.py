@@ -295,3 +295,10 @@ def test_one_shuffle_serves_sums_and_window_starts(spark):
     df = ingest.ingest_workload(many)
     df.collect()
     assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_unknown_cpu_reading_leaves_the_rest_unknown(spark):
+    from gaugeworks.plans.ingest import cpu_rows
+
+    samples = spark.sql("select 'i' source_instance, timestamp'2024-05-01' sample_time_utc, cast(null as int) sql_cpu_pct, 40 idle_pct")
+    assert cpu_rows(samples).first().other_cpu_pct is None
