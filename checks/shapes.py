@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gaugeworks import configure
 from gaugeworks.plans import ingest
-from gaugeworks.sources import spread
 
 AS_OF = dt.datetime(2001, 8, 2, 12, 30)  # "now" of the order-based facts
 EVENTS_AS_OF = dt.datetime(2024, 1, 31, 0, 30)  # "now" of the event-based facts
@@ -368,8 +367,12 @@ class Shapes:
             "waiting_tasks_cum AS waiting_tasks_count",
         )
 
+    def _spread_events(self) -> DataFrame:
+        """Events over all cores: their file has one split, and XML is costly to make and parse."""
+        return self.load("events").repartition(self.spark.sparkContext.defaultParallelism)
+
     def _polls(self) -> DataFrame:
-        return spread(self.load("events")).withColumns(
+        return self._spread_events().withColumns(
             {
                 "source_instance": F.expr("concat('srv-', user_id % 4)"),
                 "snapshot_time_utc": F.expr("date_trunc('DAY', ts) + INTERVAL 1 DAY"),
@@ -399,7 +402,7 @@ class Shapes:
 
     @cached_property
     def event_log(self) -> DataFrame:
-        return event_xml(spread(self.load("events")))
+        return event_xml(self._spread_events())
 
     @cached_property
     def event_marks(self) -> DataFrame:
@@ -414,7 +417,7 @@ class Shapes:
 
     @cached_property
     def buffers(self) -> DataFrame:
-        return deadlock_xml(spread(self.load("events")))
+        return deadlock_xml(self._spread_events())
 
     # ---- storage, usage and index sources ----
     @cached_property

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gaugeworks.settings import HOT_GROUP_ROWS
+RANK_PIECES = 64
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -44,81 +46,51 @@ def topk_union(
     return picked.dropDuplicates([*group, *key])
 
 
-def rank_within(
-    df: DataFrame,
-    group: Sequence[str],
-    ranks: Mapping[str, str],
-    hot_rows: int = HOT_GROUP_ROWS,
-    sized_by: DataFrame | None = None,
-) -> DataFrame:
-    """Add rank() by each measure, highest first (`ranks` maps rank column to measure). Gaps follow ties.
-
-    Groups up to `hot_rows` rows share one window and one shuffle. Larger groups are ranked over their
-    distinct values, cut into value bands that many tasks share: the rank of a value is one plus the rows
-    in higher bands plus the rows above it in its own band.
+def rank_within(df: DataFrame, group: Sequence[str], ranks: Mapping[str, str], pieces: int = RANK_PIECES) -> DataFrame:
+    """Add rank() by each measure, highest first (`ranks` maps rank column to measure). Gaps follow ties, NULLs come last.
 
-    Group sizes are counted first, from the group columns alone; without a large group the plan is the plain
-    window. There are at most rows / hot_rows large groups, so their keys are broadcast. `sized_by` is a
-    cheaper frame to count, one with no fewer rows per group (such as the input of an aggregate).
+    One plan at every size, and nothing is counted while planning. Distinct values are ranked, not rows, so ties
+    cost one row. Every group is cut into up to `pieces` pieces at values drawn from its own distinct values (those of the
+    least hash, so that a recomputed task draws the same), which many tasks share: the rank of a value is one plus the
+    rows in higher pieces plus the rows above it in its own piece.
     """
-
-    def windowed(rows: DataFrame) -> DataFrame:
-        for name, measure in ranks.items():
-            best = Window.partitionBy(*group).orderBy(F.col(measure).desc())
-            rows = rows.withColumn(name, F.rank().over(best))
-        return rows
-
-    counted = df if sized_by is None else sized_by
-    hot = counted.groupBy(*group).count().where(F.col("count") > hot_rows).select(*group)
-    if hot.isEmpty():
-        return windowed(df)
-    usual = windowed(df.join(F.broadcast(hot), list(group), "left_anti"))
-    large = df.join(F.broadcast(hot), list(group), "left_semi")
-    ranked = large
+    out = df
     for name, measure in ranks.items():
-        placed = _banded_rank(large, group, name, measure, hot_rows)
-        same = F.col(measure).eqNullSafe(F.col(f"_v_{name}"))
-        for c in group:
-            same = same & (F.col(c) == F.col(f"_{name}_{c}"))
-        ranked = ranked.join(placed, same)
-    return usual.unionByName(ranked.select(*usual.columns))
+        out = _join_null_safe(out, _value_ranks(df, group, name, measure, pieces), [*group, measure])
+    return out.select(*df.columns, *ranks)
+
 
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi join on keys of which NULLs match each other; the left side's keys stay."""
+    other = right.withColumnsRenamed({c: f"_k_{c}" for c in keys})
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys])
+    return left.join(other, same, how).drop(*[f"_k_{c}" for c in keys])
 
-def _banded_rank(df: DataFrame, group: Sequence[str], name: str, measure: str, hot_rows: int) -> DataFrame:
+
+def _value_ranks(df: DataFrame, group: Sequence[str], name: str, measure: str, pieces: int) -> DataFrame:
     """Rank of every distinct value of every group."""
-    place = [*group, "_band"]
+    value = F.col(measure)
     values = df.groupBy(*group, measure).agg(F.count(F.lit(1)).alias("_rows"))
-
-    # Bands of equal width on a logarithmic scale, so heavy tails still spread. Distinct values set their
-    # number; min, max and count are exact, so every evaluation yields the same bands.
-    spread = values.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("_distinct"),
-        F.min(measure).cast("double").alias("_low"),
-        F.max(measure).cast("double").alias("_high"),
-    )
-    value = F.col(measure).cast("double")
-    bands = F.ceil(F.col("_distinct") * 16.0 / hot_rows) + F.lit(16)
-    width = F.log1p(F.col("_high") - F.col("_low"))
-    share = F.when(width > 0, F.log1p(value - F.col("_low")) / width).otherwise(0.0)
-    banded = (
-        values.join(F.broadcast(spread), list(group))  # one row per large group
-        .withColumn("_band", F.when(value.isNull(), F.lit(-1)).otherwise(F.floor(share * bands)))  # NULLs last
-        .select(*place, measure, "_rows")
+    drawn = Window.partitionBy(*group).orderBy(F.xxhash64(measure), measure)
+    cuts = (
+        values.where(value.isNotNull())
+        .withColumn("_n", F.row_number().over(drawn))
+        .where(F.col("_n") < pieces)  # also applied before the shuffle
+        .groupBy(*group)
+        .agg(F.collect_list(measure).alias("_cuts"))
     )
+    below = F.size(F.filter("_cuts", lambda cut: cut <= value))
+    piece = F.when(value.isNull(), F.lit(-1)).when(F.col("_cuts").isNull(), F.lit(0)).otherwise(below)
+    cut = _join_null_safe(values, cuts, group, "left").select(*group, measure, "_rows", piece.alias("_piece"))
 
-    higher = Window.partitionBy(*group).orderBy(F.col("_band").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    place = [*group, "_piece"]
+    higher = Window.partitionBy(*group).orderBy(F.col("_piece").desc()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        banded.groupBy(*place)
+        cut.groupBy(*place)
         .agg(F.sum("_rows").alias("_rows"))
         .select(*place, F.coalesce(F.sum("_rows").over(higher), F.lit(0)).alias("_offset"))
     )
-    above = Window.partitionBy(*place).orderBy(F.col(measure).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        banded.withColumn("_above", F.coalesce(F.sum("_rows").over(above), F.lit(0)))
-        .join(offsets, place)
-        .select(
-            *[F.col(c).alias(f"_{name}_{c}") for c in group],
-            F.col(measure).alias(f"_v_{name}"),
-            (F.col("_offset") + F.col("_above") + 1).cast("int").alias(name),
-        )
-    )
+    above = Window.partitionBy(*place).orderBy(value.desc()).rowsBetween(Window.unboundedPreceding, -1)
+    placed = cut.withColumn("_above", F.coalesce(F.sum("_rows").over(above), F.lit(0)))
+    rank = (F.col("_offset") + F.col("_above") + 1).cast("int").alias(name)
+    return _join_null_safe(placed, offsets, place).select(*group, measure, rank)

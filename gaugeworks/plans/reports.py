@@ -61,16 +61,12 @@ def wait_deltas(
     )
 
 
-def top_queries(
-    queries: DataFrame, hot_rows: int = settings.HOT_GROUP_ROWS, sized_by: DataFrame | None = None
-) -> DataFrame:
+def top_queries(queries: DataFrame) -> DataFrame:
     """Queries ranked within their snapshot by mean CPU and by mean duration."""
     return rank_within(
         queries,
         ["source_instance", "snapshot_time_utc"],
         {"cpu_rank": "avg_cpu_ms", "duration_rank": "avg_duration_ms"},
-        hot_rows,
-        sized_by,
     ).select(
         "source_instance",
         "snapshot_time_utc",
@@ -168,14 +164,13 @@ def table_access_trend(usage: DataFrame, as_of: dt.datetime, days: int = setting
     )
 
 
-def index_opportunities(index_ops: DataFrame, hot_rows: int = settings.HOT_GROUP_ROWS) -> DataFrame:
+def index_opportunities(index_ops: DataFrame) -> DataFrame:
     """The latest day's index findings per database; only missing indexes are ranked."""
     latest = latest_date_per_group(index_ops, ["source_instance", "database_name"], "snapshot_date")
     missing = rank_within(
         latest.where("kind = 'missing'"),
         ["source_instance", "database_name", "kind"],
         {"impact_rank": "impact_score"},
-        hot_rows,
     )
     others = latest.where("kind <> 'missing' OR kind IS NULL").withColumn("impact_rank", F.lit(None).cast("int"))
     return missing.unionByName(others).select(
@@ -301,7 +296,7 @@ def workload_by_category(
     )
 
 
-def top_logins(workload: DataFrame, hot_rows: int = settings.HOT_GROUP_ROWS) -> DataFrame:
+def top_logins(workload: DataFrame) -> DataFrame:
     """Logins by total CPU and by total reads, ranked per instance."""
     totals = workload.groupBy("source_instance", "login_name").agg(
         F.sum("total_cpu_ms").alias("total_cpu_ms"),
@@ -309,7 +304,7 @@ def top_logins(workload: DataFrame, hot_rows: int = settings.HOT_GROUP_ROWS) ->
         F.sum("exec_count").alias("exec_count"),
     )
     ranks = {"cpu_rank": "total_cpu_ms", "reads_rank": "total_logical_reads"}
-    return rank_within(totals, ["source_instance"], ranks, hot_rows)
+    return rank_within(totals, ["source_instance"], ranks)
 
 
 def io_latency_deltas(

@@ -65,5 +65,3 @@ FIRST_USER_SESSION = 51
 LAST_SYSTEM_DATABASE_ID = 4
 SCHEDULER_ID_LIMIT = 255
 EVENT_MIN_DURATION_MS = 1000
-# A group above this many rows is ranked in pieces (see operators.ranking).
-HOT_GROUP_ROWS = 4_000_000

@@ -25,14 +25,6 @@ def read_rowset(spark: SparkSession, path: str, columns: str) -> DataFrame:
     return spark.read.schema(columns).option("multiLine", True).json(path)
 
 
-def spread(raw: DataFrame) -> DataFrame:
-    """Use all cores for costly row work (XML parsing) on an input with fewer splits than cores: such an input
-    is small, so moving it costs less than parsing it on a few cores. Larger inputs are left as they are.
-    For frames read from files, before any join or aggregate, so that looking at the splits runs nothing."""
-    cores = raw.sparkSession.sparkContext.defaultParallelism
-    return raw.repartition(cores) if raw.rdd.getNumPartitions() < cores else raw
-
-
 def stamp(
     df: DataFrame,
     source_instance: str | None = None,

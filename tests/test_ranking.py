@@ -31,10 +31,10 @@ def brute_rank(data, column):
     return out
 
 
-@pytest.mark.parametrize("hot_rows", [10**6, 150, 1])
-def test_rank_is_the_same_for_small_large_and_mixed_groups(spark, hot_rows):
+@pytest.mark.parametrize("pieces", [1, 2, 64])
+def test_rank_does_not_depend_on_the_pieces(spark, pieces):
     data = sample()
-    got = rank_within(spark.createDataFrame(data, COLUMNS), ["g"], {"rv": "v", "rw": "w"}, hot_rows).collect()
+    got = rank_within(spark.createDataFrame(data, COLUMNS), ["g"], {"rv": "v", "rw": "w"}, pieces).collect()
     assert len(got) == len(data)
     assert {r.id: r.rv for r in got} == brute_rank(data, 2)
     assert {r.id: r.rw for r in got} == brute_rank(data, 3)
@@ -42,10 +42,24 @@ def test_rank_is_the_same_for_small_large_and_mixed_groups(spark, hot_rows):
 
 def test_rank_of_one_repeated_value(spark):
     data = [("g", i, Decimal("7.00"), 0.0) for i in range(20)]
-    got = rank_within(spark.createDataFrame(data, COLUMNS), ["g"], {"r": "v"}, hot_rows=5)
+    got = rank_within(spark.createDataFrame(data, COLUMNS), ["g"], {"r": "v"})
     assert {r.r for r in got.collect()} == {1}
 
 
+def test_rank_with_null_groups_one_outlier_and_no_job_while_planning(spark):
+    data = [(None, i, Decimal(i), 0.0) for i in range(50)] + [("g", i, Decimal(i % 40), 0.0) for i in range(400)]
+    data += [("g", 400, Decimal(10**12), 0.0), ("n", 1, None, 0.0)]
+    df = spark.createDataFrame(data, COLUMNS)
+    spark.sparkContext.setJobGroup("ranks", "planning")
+    ranked = rank_within(df, ["g"], {"r": "v"}, 8)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("ranks")
+    got = {(x.g, x.id): x.r for x in ranked.collect()}
+    assert len(got) == len(data)
+    for g in (None, "g", "n"):
+        part = [x for x in data if x[0] == g]
+        assert {k[1]: r for k, r in got.items() if k[0] == g} == brute_rank(part, 2)
+
+
 def test_latest_per_key_breaks_ties_by_order(spark):
     data = [("a", d("2024-01-01"), 1), ("a", d("2024-01-02"), 2), ("a", d("2024-01-02"), 3), ("b", d("2023-01-01"), 4)]
     df = spark.createDataFrame(data, "k string, day date, n int")
