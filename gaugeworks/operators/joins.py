@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -36,6 +36,40 @@ def asof_lookback(
     )
 
 
+def names_at(
+    df: DataFrame,
+    names: DataFrame,
+    keys: Sequence[str],
+    columns: Mapping[str, str],
+    how: str = "left",
+    time: str = "snapshot_time_utc",
+) -> DataFrame:
+    """Attach `columns` (new name to column of `names`) as they were at each row's poll.
+
+    A name table with a poll time shrinks to its changes first: one row per span in which nothing changed, so repeated
+    polls never multiply rows, and a row meets as many candidates as its key had renames. Rows before the first
+    poll take the first names, rows after the last one the last. A table without a poll time holds current rows.
+    """
+    picked = [F.col(old).alias(f"_new_{new}") for new, old in columns.items()]
+    renamed = {f"_new_{new}": new for new in columns}
+    if time not in names.columns or time not in df.columns:
+        return df.join(names.select(*keys, *picked), list(keys), how).withColumnsRenamed(renamed)
+    at = F.coalesce(F.col(time).cast("timestamp"), F.lit("0001-01-01").cast("timestamp"))  # undated names are the oldest
+    polls = names.select(*[F.col(k).alias(f"_k_{k}") for k in keys], at.alias("_from"), *picked)
+    values = F.struct(*renamed)
+    history = Window.partitionBy(*[f"_k_{k}" for k in keys]).orderBy("_from", values)
+    last = F.lead("_from").over(history)  # of equal poll times the largest values count
+    polls = polls.withColumn("_next", last).where("_next IS NULL OR _next > _from").drop("_next")
+    before = polls.withColumns({"_first": F.row_number().over(history) == 1, "_before": F.lag(values).over(history)})
+    changes = before.where(F.col("_first") | ~F.col("_before").eqNullSafe(values)).drop("_before")
+    spans = changes.withColumn("_until", F.lead("_from").over(history))
+    same = reduce(and_, [F.col(k) == F.col(f"_k_{k}") for k in keys])
+    since = F.col("_first") | (F.col(time) >= F.col("_from"))
+    until = F.col("_until").isNull() | (F.col(time) < F.col("_until"))
+    joined = df.join(spans, same & since & until, how)
+    return joined.drop("_from", "_until", "_first", *[f"_k_{k}" for k in keys]).withColumnsRenamed(renamed)
+
+
 def like_regex(pattern: Column) -> Column:
     """A LIKE pattern as a regular expression: % and _ are wildcards, [...] and [^...] are classes, all else is literal."""
     pieces = F.regexp_extract_all(pattern, F.lit(r"(\[[^\]]+\]|[\s\S])"), F.lit(1))

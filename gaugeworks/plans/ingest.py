@@ -1,8 +1,8 @@
 """Raw monitoring tables to fact rows. Every raw table carries (source_instance, snapshot_time_utc) and,
 where it belongs to one database, database_name; one plan covers all instances and databases at once.
 
-Name tables (databases, tables, objects, schemas, indexes, files, jobs) are dimensions: one current row per
-id and instance (and database)."""
+Name tables (databases, tables, objects, schemas, indexes, files, jobs) are landed like any other: with a poll time they are read
+as of each row's poll, without one they hold one current row per id and instance (and database)."""
 
 from __future__ import annotations
 
@@ -26,10 +26,10 @@ from gaugeworks.functions.xml import (
     parse_events,
     split_deadlocks,
 )
-from gaugeworks.operators import exclude, topk_union
+from gaugeworks.operators import exclude, names_at, topk_union
 from gaugeworks.plans.live import SNAPSHOT, concurrency, user_requests, with_database_name
 from gaugeworks.schemas import TABLES
-from gaugeworks.sources.ledger import after_mark, later, with_mark
+from gaugeworks.sources.ledger import later, with_mark
 
 SEQUENCE = "_polled_at"
 DATABASE = ["source_instance", "database_name"]
@@ -112,7 +112,7 @@ def _cost_columns(sums: DataFrame, *more: str) -> DataFrame:
 def query_costs(query_stats: DataFrame, sql_text: DataFrame) -> DataFrame:
     """Cost and alphabetically first statement of every query hash and snapshot. Plans whose text is gone
     are left out."""
-    texts = sql_text.select(*_PLAN, "text")
+    texts = sql_text.select(*_PLAN, "text").dropDuplicates(_PLAN)  # several polls hold the same text
     sums = query_stats.join(texts, _PLAN).groupBy(*_QUERY).agg(*_plan_sums(), _first_statement())
     return shaped(_cost_columns(sums, "query_sql_text"), "fact_query_perf")
 
@@ -181,11 +181,21 @@ def ingest_workload(
     The window starts at the mark; on an instance's first run, at its earliest event. `min_duration_ms`
     drops faster queries.
     """
+    return workload_rows(workload_events(event_log, marks), min_duration_ms)
+
+
+def workload_events(event_log: DataFrame, marks: DataFrame | None = None) -> DataFrame:
+    """Parsed events after each instance's mark, usable or not (`is_valid`)."""
     log = with_mark(event_log, marks)
     if marks is not None:
         # Most of a log is older than the mark: drop that part by the opening tag, before the XML parser.
         log = later(log, head_time(F.col("event_data")), keep_unknown=True)
-    events, _ = split_valid(parse_events(log))
+    return parse_events(log)
+
+
+def workload_rows(parsed: DataFrame, min_duration_ms: int | None = None) -> DataFrame:
+    """Sums of the usable ones of parsed events, see `ingest_workload`."""
+    events, _ = split_valid(parsed)
     if min_duration_ms is not None:
         events = events.where(F.col("duration") > min_duration_ms * 1000)
     sums = (
@@ -225,7 +235,7 @@ def session_rows(requests: DataFrame) -> DataFrame:
 
 
 def ingest_sessions(
-    requests: DataFrame, sessions: DataFrame, databases: DataFrame, own_session_id: int | None = None
+    requests: DataFrame, sessions: DataFrame, databases: DataFrame, own_session_id: int | DataFrame | None = None
 ) -> DataFrame:
     return session_rows(with_database_name(user_requests(requests, sessions, own_session_id), databases))
 
@@ -242,10 +252,7 @@ def ingest_storage(
 ) -> DataFrame:
     """Rows and space per table. Rows count once (heap or clustered index); the data share takes in-row,
     large-object and overflow pages of all indexes, and the index share is the rest of the used pages."""
-    named = tables.where(~F.col("is_ms_shipped")).select(
-        *DATABASE, "object_id", "schema_id", F.col("name").alias("table_name")
-    )
-    owners = schemas.select(*DATABASE, "schema_id", F.col("name").alias("schema_name"))
+    user_tables = tables.where(~F.col("is_ms_shipped"))
     data = F.col("in_row_data_page_count") + F.col("lob_used_page_count") + F.col("row_overflow_used_page_count")
     # Partitions are summed to their object before any name is looked up.
     pages = (
@@ -259,8 +266,7 @@ def ingest_storage(
         )
     )
     sums = (
-        pages.join(named, [*DATABASE, "object_id"])
-        .join(owners, [*DATABASE, "schema_id"])
+        _table_names(pages, user_tables, schemas)
         .groupBy(*SNAPSHOT, "snapshot_date", "database_name", "schema_name", "table_name")
         .agg(*[F.sum(c).alias(c) for c in ["row_count", "_data", "_used", "_reserved"]])
     )
@@ -277,12 +283,21 @@ def ingest_storage(
     )
 
 
-def _object_names(objects: DataFrame, schemas: DataFrame) -> DataFrame:
-    owners = schemas.select(*DATABASE, "schema_id", F.col("name").alias("_schema"))
-    full = F.concat(F.col("_schema"), F.lit("."), F.col("name"))
-    return objects.join(owners, [*DATABASE, "schema_id"], "left").select(
-        *DATABASE, "object_id", full.alias("_object")
+def _table_names(rows: DataFrame, tables: DataFrame, schemas: DataFrame) -> DataFrame:
+    """Rows of known objects with table_name and schema_name."""
+    found = names_at(
+        rows, tables, [*DATABASE, "object_id"], {"table_name": "name", "schema_id": "schema_id"}, "inner"
+    )
+    return names_at(found, schemas, [*DATABASE, "schema_id"], {"schema_name": "name"}, "inner")
+
+
+def _object_names(rows: DataFrame, objects: DataFrame, schemas: DataFrame) -> DataFrame:
+    """Rows with `_object`, the full name; NULL where it is unknown."""
+    found = names_at(
+        rows, objects, [*DATABASE, "object_id"], {"_name": "name", "schema_id": "schema_id"}
     )
+    owned = names_at(found, schemas, [*DATABASE, "schema_id"], {"_schema": "name"})
+    return owned.withColumn("_object", F.concat(F.col("_schema"), F.lit("."), F.col("_name")))
 
 
 def ingest_index_ops(
@@ -296,7 +311,6 @@ def ingest_index_ops(
     sequenced: bool = False,
 ) -> DataFrame:
     """Missing indexes with their estimated gain, and unused ones (never read, still written)."""
-    names = _object_names(objects, schemas)
 
     def listed(column: str):
         return F.coalesce(F.col(column), F.lit(""))
@@ -308,12 +322,12 @@ def ingest_index_ops(
             missing_stats.withColumnRenamed("group_handle", "index_group_handle"),
             [*SNAPSHOT, "index_group_handle"],
         )
-        .join(names, [*DATABASE, "object_id"], "left")
         .select(
             *SNAPSHOT,
             "database_name",
+            "object_id",
             F.lit("missing").alias("kind"),
-            F.col("_object").alias("object_name"),
+            F.lit(None).cast("string").alias("_index"),
             gain.cast(MS2).alias("impact_score"),
             F.lit(None).cast("long").alias("reads"),
             F.lit(None).cast("long").alias("writes"),
@@ -329,34 +343,32 @@ def ingest_index_ops(
     )
     reads = F.col("user_seeks") + F.col("user_scans") + F.col("user_lookups")
     idle = usage_stats.where((reads == 0) & (F.col("user_updates") > 0))
-    named_indexes = indexes.where(F.col("name").isNotNull()).select(
-        *DATABASE, "object_id", "index_id", F.col("name").alias("_index")
-    )
+    named_indexes = indexes.where(F.col("name").isNotNull())
     unused = (
-        idle.join(named_indexes, [*DATABASE, "object_id", "index_id"])
-        .join(names, [*DATABASE, "object_id"], "left")
+        names_at(idle, named_indexes, [*DATABASE, "object_id", "index_id"], {"_index": "name"}, "inner")
         .select(
             *SNAPSHOT,
             "database_name",
+            "object_id",
             F.lit("unused").alias("kind"),
-            F.concat(F.col("_object"), F.lit("."), F.col("_index")).alias("object_name"),
+            "_index",
             F.lit(None).cast(MS2).alias("impact_score"),
             reads.alias("reads"),
             F.col("user_updates").alias("writes"),
             F.lit(None).cast("string").alias("detail"),
         )
     )
-    return shaped(_dated(missing.unionByName(unused)), "fact_index_ops", sequenced)
+    # Object names are looked up once, for both kinds of finding.
+    found = _object_names(missing.unionByName(unused), objects, schemas)
+    named = found.withColumn("object_name", F.concat("_object", F.when(F.col("kind") == "unused", F.concat(F.lit("."), "_index")).otherwise("")))
+    return shaped(_dated(named), "fact_index_ops", sequenced)
 
 
 def ingest_table_access(
     usage_stats: DataFrame, objects: DataFrame, schemas: DataFrame, sequenced: bool = False
 ) -> DataFrame:
     """Cumulative accesses per user table, all of its indexes together."""
-    user_tables = objects.where((F.col("type") == "U") & ~F.col("is_ms_shipped")).select(
-        *DATABASE, "object_id", "schema_id", F.col("name").alias("table_name")
-    )
-    owners = schemas.select(*DATABASE, "schema_id", F.col("name").alias("schema_name"))
+    user_tables = objects.where((F.col("type") == "U") & ~F.col("is_ms_shipped"))
     last_read = F.greatest("last_user_seek", "last_user_scan", "last_user_lookup")
     per_object = (
         _dated(usage_stats)
@@ -373,8 +385,7 @@ def ingest_table_access(
     sums = ["seeks_cum", "scans_cum", "lookups_cum", "updates_cum"]
     times = ["last_user_read_utc", "last_user_update_utc"]
     rolled = (
-        per_object.join(user_tables, [*DATABASE, "object_id"])
-        .join(owners, [*DATABASE, "schema_id"])
+        _table_names(per_object, user_tables, schemas)
         .groupBy("snapshot_date", *SNAPSHOT, "database_name", "schema_name", "table_name")
         .agg(*[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(c) for c in times])
     )
@@ -397,7 +408,7 @@ def ingest_health(
         job_history.where(
             (F.col("run_status") == 0) & (started >= F.col("snapshot_time_utc") - F.expr("INTERVAL 24 HOURS"))
         )
-        .join(jobs.select("source_instance", "job_id"), ["source_instance", "job_id"])
+        .join(jobs.select("source_instance", "job_id"), ["source_instance", "job_id"], "left_semi")
         .groupBy(*SNAPSHOT)
         .agg(F.count(F.lit(1)).alias("_failures"))
     )
@@ -412,15 +423,10 @@ def ingest_health(
 
 def ingest_io_latency(file_stats: DataFrame, master_files: DataFrame, databases: DataFrame) -> DataFrame:
     """Cumulative IO per file of the user databases."""
-    files = master_files.select(
-        "source_instance",
-        "database_id",
-        "file_id",
-        F.col("name").alias("logical_file_name"),
-        F.col("type_desc").alias("file_type"),
-    )
     stats = file_stats.where(F.col("database_id") > settings.LAST_SYSTEM_DATABASE_ID)
-    named = with_database_name(stats.join(files, ["source_instance", "database_id", "file_id"]), databases)
+    file = ["source_instance", "database_id", "file_id"]
+    files = names_at(stats, master_files, file, {"logical_file_name": "name", "file_type": "type_desc"}, "inner")
+    named = with_database_name(files, databases)
     counters = {
         "num_of_reads": "reads_cum",
         "num_of_bytes_read": "bytes_read_cum",
@@ -456,8 +462,17 @@ def pick_event_buffers(targets: DataFrame, sessions: DataFrame) -> DataFrame:
 def ingest_deadlocks(buffers: DataFrame, marks: DataFrame | None = None) -> DataFrame:
     """Deadlock reports after each instance's mark. All buffers are read; reports that several polls still
     hold collapse on upsert. The mark is applied before graphs are parsed, as most reports of a poll are old."""
+    return deadlock_rows(deadlock_reports(buffers, marks))
+
+
+def deadlock_reports(buffers: DataFrame, marks: DataFrame | None = None) -> DataFrame:
+    """Reports after each instance's mark, also those whose time cannot be read; their graphs are not parsed yet."""
     reports = split_deadlocks(buffers.select("source_instance", "target_xml"))
-    return shaped(parse_deadlocks(after_mark(reports, marks, "event_time_utc")), "fact_deadlock")
+    return later(with_mark(reports, marks), F.col("event_time_utc"), keep_unknown=True)
+
+
+def deadlock_rows(reports: DataFrame) -> DataFrame:
+    return shaped(parse_deadlocks(reports), "fact_deadlock")
 
 
 # Task name -> (target table, builder over named raw frames and options).
@@ -476,6 +491,7 @@ TASKS: Mapping[str, tuple] = {
     "blocking": ("fact_blocking_snapshot", ingest_blocking),
     "deadlocks": ("fact_deadlock", ingest_deadlocks),
 }
-INCREMENTAL = {"workload", "deadlocks"}
+# Tasks that continue after a mark: the pass that takes events in, and the one that makes facts of them.
+INCREMENTAL = {"workload": (workload_events, workload_rows), "deadlocks": (deadlock_reports, deadlock_rows)}
 # Tasks whose tables keep one row per day: their builders can carry the poll time, which orders polls of one day.
 DAILY = {"storage", "index_ops", "table_access", "health"}

@@ -5,14 +5,17 @@ from __future__ import annotations
 import datetime as dt
 import traceback
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gaugeworks import settings
-from gaugeworks.functions.xml import EVENT_TIME
 from gaugeworks.plans.ingest import DAILY, INCREMENTAL, SEQUENCE, TASKS
 from gaugeworks.schemas import RULE_COLUMNS, TABLES
+from gaugeworks.session import scratch_path
 from gaugeworks.sources.fact_table import FactTable
+from gaugeworks.sources.files import remove
 from gaugeworks.sources.ledger import RunLedger, run_marks
 
 FLEET = "*"  # instance name of a ledger row that stands for a whole run
@@ -38,6 +41,19 @@ class Store:
         seed_rules(self.spark).write.mode("ignore").parquet(path)
         return self.spark.read.schema(RULE_COLUMNS).parquet(path)
 
+    def quarantine_path(self, task: str) -> str:
+        return f"{self.root}/quarantine_{task}"
+
+    def quarantine(self, task: str) -> DataFrame:
+        """Events that runs of the task could not read, with the time of the run that set them aside."""
+        columns = "source_instance string, event_time_utc timestamp, event_data string, started_at_utc timestamp"
+        try:
+            return self.spark.read.schema(columns).parquet(self.quarantine_path(task))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], columns)
+
     def purge(self, as_of: dt.datetime, retention_days: Mapping[str, int] | None = None) -> dict[str, list[str]]:
         """Expire every fact table and the ledger; `retention_days` overrides the tables' own."""
         days = retention_days or {}
@@ -62,68 +78,149 @@ def run_task(
 ) -> int:
     """Ingest one task and return its row count. A dry run computes and counts, and writes nothing.
 
-    The ledger gets a `running` row per run, then one `success` row per instance, or a `failed` row with the
-    error, which is raised again. Incremental tasks start from the ledger's marks; the mark of a run is the
-    newest event it took in, so events that arrive during a run are not lost.
+    The ledger gets a `running` row per run, then one `success` row per instance of the raw input, also for those with
+    nothing to report. One plan covers the fleet; if it fails while running, the instances are halved and tried again until
+    those that cannot be ingested stand alone: they get a `failed` row each and do not stop the others. The error is raised
+    if no instance is left, or if the plan itself cannot be built.
+
+    Incremental tasks start from the ledger's marks. What lies behind the mark is parsed once into a staged copy, and the new mark,
+    the facts and the events set aside all come from that copy, so that events that arrive meanwhile wait for the
+    next run. Events that cannot be read go to `store.quarantine(task)`.
     """
-    table, build = TASKS[task]
-    spark = store.spark
     raw = dict(raw)
     if task in INCREMENTAL and "marks" not in raw:
-        raw["marks"] = run_marks(store.ledger.runs(), task)
+        # An incremental run without a noted time has seen no event yet, so it moves no mark.
+        raw["marks"] = run_marks(store.ledger.runs().where("high_water_utc IS NOT NULL"), task)
     if dry_run:
-        return build(**raw, **options).count()
-
-    def note(states: DataFrame) -> None:
-        store.ledger.append(
-            states.withColumns({"task": F.lit(task), "started_at_utc": F.lit(started_at).cast("timestamp")})
-        )
-
-    def fleet_state(status: str, error: str | None) -> DataFrame:
-        now = F.current_timestamp()
-        return spark.range(1).select(
-            F.lit(FLEET).alias("source_instance"),
-            (F.lit(None).cast("timestamp") if status == "running" else now).alias("ended_at_utc"),
-            F.lit(status).alias("status"),
-            F.lit(None).cast("long").alias("row_count"),
-            F.lit(error).cast("string").alias("error_message"),
-            F.lit(None).cast("timestamp").alias("high_water_utc"),
-        )
-
-    note(fleet_state("running", None))
-    target = store.table(table)
+        return TASKS[task][1](**raw, **options).count()
+    run = _Run(store, task, started_at, options)
+    run.note([FLEET], "running")
     try:
-        if task in DAILY:
-            written = target.upsert(build(**raw, sequenced=True, **options), [SEQUENCE])
-        else:
-            written = target.upsert(build(**raw, **options))
-        counts = written.groupBy("source_instance").agg(F.count(F.lit(1)).alias("row_count"))
-        if task in INCREMENTAL:
-            counts = counts.join(_newest_events(raw, task), "source_instance", "left")
-        else:
-            counts = counts.withColumn("high_water_utc", F.lit(None).cast("timestamp"))
-        done = counts.select(
-            "source_instance",
-            F.current_timestamp().alias("ended_at_utc"),
-            F.lit("success").alias("status"),
-            "row_count",
-            F.lit(None).cast("string").alias("error_message"),
-            "high_water_utc",
-        )
-        note(done)
-        total = written.count()
-        note(fleet_state("success", None).withColumn("row_count", F.lit(total).cast("long")))
-        return total
+        instances = _instances(raw)
+        total = run.attempt(raw, instances)
     except Exception as error:
-        note(fleet_state("failed", f"{error}\n{traceback.format_exc()}"))
+        run.note([FLEET], "failed", error=_text(error))
         raise
     finally:
-        target.discard_staged()
-
+        run.discard_staged()
+    if not run.failed:
+        run.note([FLEET], "success", total)
+        return total
+    names = ", ".join(sorted(str(name) for name in run.failed))
+    first = next(iter(run.failed.values()))
+    run.note([FLEET], "failed", total, f"{len(run.failed)} of {len(instances)} instances: {names}\n{_text(first)}")
+    if len(run.failed) == len(instances):
+        raise first
+    return total
+
+
+def _text(error: Exception) -> str:
+    return f"{error}\n" + "".join(traceback.format_exception(error))
+
+
+def _instances(raw: Mapping[str, DataFrame]) -> list[str | None]:
+    """Names of the servers in the raw input (one column of each frame; a fleet's names fit the driver)."""
+    frames = [f.select("source_instance") for name, f in raw.items() if name != "marks" and "source_instance" in f.columns]
+    return [row[0] for row in reduce(DataFrame.unionByName, frames).distinct().collect()]
+
+
+class _Run:
+    """One run of a task: its ledger rows, its staged copies and the instances that failed."""
+
+    def __init__(self, store: Store, task: str, started_at: dt.datetime, options: Mapping):
+        self.store, self.task, self.started_at, self.options = store, task, started_at, options
+        self.target = store.table(TASKS[task][0])
+        self.failed: dict[str | None, Exception] = {}
+        self._staged: list[str] = []
+
+    def note(self, instances: list, status: str, rows: int | None = None, error: str | None = None) -> None:
+        names = self.store.spark.createDataFrame([(name,) for name in instances], "source_instance string")
+        self._append(names, status, F.lit(rows), F.lit(error), F.lit(None))
+
+    def _append(self, names: DataFrame, status: str, rows: Column, error: Column, mark: Column) -> None:
+        self.store.ledger.append(
+            names.select(
+                "source_instance",
+                F.lit(self.task).alias("task"),
+                F.lit(self.started_at).cast("timestamp").alias("started_at_utc"),
+                (F.lit(None).cast("timestamp") if status == "running" else F.current_timestamp()).alias("ended_at_utc"),
+                F.lit(status).alias("status"),
+                rows.cast("long").alias("row_count"),
+                error.cast("string").alias("error_message"),
+                mark.cast("timestamp").alias("high_water_utc"),
+            )
+        )
 
-def _newest_events(raw: Mapping[str, DataFrame], task: str) -> DataFrame:
-    """Newest event time per instance in the raw input, read from the event heads only (no XML parsing)."""
-    column = {"workload": "event_data", "deadlocks": "target_xml"}[task]
-    frame = {"workload": "event_log", "deadlocks": "buffers"}[task]
-    times = F.transform(F.regexp_extract_all(F.col(column), F.lit(EVENT_TIME), 1), lambda t: F.try_to_timestamp(t))
-    return raw[frame].groupBy("source_instance").agg(F.max(F.array_max(times)).alias("high_water_utc"))
+    def attempt(self, raw: Mapping[str, DataFrame], instances: list) -> int:
+        try:
+            return self._ingest(raw, instances)
+        except AnalysisException:  # the plan is wrong, for every instance
+            raise
+        except Exception as error:
+            if len(instances) <= 1:
+                self.note(instances or [FLEET], "failed", error=_text(error))
+                self.failed[instances[0] if instances else FLEET] = error
+                return 0
+            half = len(instances) // 2
+            return sum(self.attempt(_only(raw, part), part) for part in (instances[:half], instances[half:]))
+
+    def _ingest(self, raw: Mapping[str, DataFrame], instances: list) -> int:
+        names = self.store.spark.createDataFrame([(name,) for name in instances], "source_instance string")
+        same = lambda other: F.col("source_instance").eqNullSafe(other["_instance"])
+        bad = marks = None
+        if self.task in INCREMENTAL:
+            take, make = INCREMENTAL[self.task]
+            events = self._stage(take(**raw))
+            built = make(events, **self.options)
+            marks = events.groupBy(F.col("source_instance").alias("_instance")).agg(F.max("event_time_utc").alias("_newest"))
+            if "is_valid" in events.columns:
+                bad = self._set_aside(events.where(~F.col("is_valid")))
+        else:
+            daily = {"sequenced": True} if self.task in DAILY else {}
+            built = TASKS[self.task][1](**raw, **daily, **self.options)
+        written = self.target.upsert(built, [SEQUENCE] if self.task in DAILY else [])
+        counts = written.groupBy(F.col("source_instance").alias("_instance")).agg(F.count(F.lit(1)).alias("_rows"))
+        done = names.join(counts, same(counts), "left").drop("_instance")
+        mark, error = F.lit(None), F.lit(None)
+        if marks is not None:
+            done = done.join(marks, same(marks), "left").drop("_instance")
+            old = raw["marks"].select(F.col("source_instance").alias("_instance"), F.col("mark_utc").alias("_old"))
+            done = done.join(old, same(old), "left").drop("_instance")
+            mark = F.greatest("_newest", "_old")
+        if bad is not None:
+            aside = bad.groupBy(F.col("source_instance").alias("_instance")).agg(F.count(F.lit(1)).alias("_bad"))
+            done = done.join(aside, same(aside), "left").drop("_instance")
+            error = F.when(F.col("_bad") > 0, F.concat(F.col("_bad").cast("string"), F.lit(" events set aside")))
+        self._append(done, "success", F.coalesce("_rows", F.lit(0)), error, mark)
+        return written.count()
+
+    def _set_aside(self, bad: DataFrame) -> DataFrame:
+        """Add unreadable events to the quarantine, each once however often it is read; returns the new ones."""
+        path = self.store.quarantine_path(self.task)
+        known = self.store.quarantine(self.task)
+        rows = bad.select("source_instance", "event_time_utc", "event_data").dropDuplicates(["source_instance", "event_data"])
+        old = known.select(F.col("source_instance").alias("_instance"), F.col("event_data").alias("_data"))
+        same = F.col("source_instance").eqNullSafe(F.col("_instance")) & F.col("event_data").eqNullSafe(F.col("_data"))
+        fresh = self._stage(rows.join(old, same, "left_anti"))
+        if not fresh.isEmpty():
+            fresh.withColumn("started_at_utc", F.lit(self.started_at).cast("timestamp")).write.mode("append").parquet(path)
+        return fresh
+
+    def _stage(self, rows: DataFrame) -> DataFrame:
+        path = scratch_path(self.store.spark, f"run-{self.task}")
+        self._staged.append(path)
+        rows.write.parquet(path)
+        return self.store.spark.read.schema(rows.schema).parquet(path)
+
+    def discard_staged(self) -> None:
+        self.target.discard_staged()
+        while self._staged:
+            remove(self.store.spark, self._staged.pop())
+
+
+def _only(raw: Mapping[str, DataFrame], instances: list) -> dict[str, DataFrame]:
+    """The raw frames, cut to some instances."""
+    column = F.col("source_instance")
+    known = column.isin([name for name in instances if name is not None])
+    wanted = known | column.isNull() if None in instances else known
+    return {name: f.where(wanted) if "source_instance" in f.columns else f for name, f in raw.items()}

@@ -9,22 +9,28 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeworks import settings
 from gaugeworks.functions.scalar import second_boundaries, statement_slice
+from gaugeworks.operators import names_at
 
 SNAPSHOT = ["source_instance", "snapshot_time_utc"]
 
 
 def with_database_name(df: DataFrame, databases: DataFrame) -> DataFrame:
-    """Add database_name by id; rows whose id is unknown stay, with a NULL name."""
-    names = databases.select("source_instance", "database_id", F.col("name").alias("database_name"))
-    return df.join(names, ["source_instance", "database_id"], "left")
+    """Add database_name by id, as of the row's poll; rows whose id is unknown stay, with a NULL name."""
+    return names_at(df, databases, ["source_instance", "database_id"], {"database_name": "name"})
 
 
-def user_requests(requests: DataFrame, sessions: DataFrame, own_session_id: int | None = None) -> DataFrame:
-    """Requests of user sessions, without the polling session itself."""
+def user_requests(
+    requests: DataFrame, sessions: DataFrame, own_session_id: int | DataFrame | None = None
+) -> DataFrame:
+    """Requests of user sessions, without the polling session itself: one id for all instances, or a frame of
+    (source_instance, snapshot_time_utc, session_id) for a fleet, where each poll has a session of its own."""
     users = sessions.where("is_user_process").select(
         *SNAPSHOT, "session_id", "login_name", "host_name", "program_name"
     )
-    if own_session_id is not None:
+    if isinstance(own_session_id, DataFrame):
+        own = [*SNAPSHOT, "session_id"]
+        requests = requests.join(own_session_id.select(*own), own, "left_anti")
+    elif own_session_id is not None:
         requests = requests.where(F.col("session_id") != own_session_id)
     return requests.join(users, [*SNAPSHOT, "session_id"])
 
@@ -34,12 +40,12 @@ def active_requests(
     sessions: DataFrame,
     sql_text: DataFrame,
     databases: DataFrame,
-    own_session_id: int | None = None,
+    own_session_id: int | DataFrame | None = None,
 ) -> DataFrame:
     """What runs in each snapshot: session, progress, cost so far and the running statement. Statement texts
-    are keyed by (source_instance, sql_handle)."""
+    are keyed by (source_instance, sql_handle); a handle stands for one text, which several polls may hold."""
     running = with_database_name(user_requests(requests, sessions, own_session_id), databases)
-    texts = sql_text.select("source_instance", "sql_handle", "text")
+    texts = sql_text.select("source_instance", "sql_handle", "text").dropDuplicates(["source_instance", "sql_handle"])
     return running.join(texts, ["source_instance", "sql_handle"], "left").select(
         *SNAPSHOT,
         "session_id",

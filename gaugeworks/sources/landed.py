@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from gaugeworks.operators import names_at
 from gaugeworks.settings import LAST_SYSTEM_DATABASE_ID
 
 
@@ -46,16 +47,32 @@ def stamp(
 
 def in_databases(
     df: DataFrame,
-    configured: Sequence[str] | None = None,
+    configured: Sequence[str] | Mapping[str, Sequence[str]] | None = None,
     databases: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows of the selected databases: the configured names, else every online user database of the
-    instance listed in `databases` (source_instance, database_id, name, state_desc)."""
-    if configured:
+    """Rows of the selected databases: the configured names, for all instances or by instance; instances without names
+    take every user database that `databases` (source_instance, database_id, name, state_desc) lists as online at the
+    row's poll. Without a poll time, `databases` holds current rows."""
+    key = ["source_instance", "database_name"]
+    by_instance = isinstance(configured, Mapping)
+    if configured and not by_instance:
         return df.where(F.col("database_name").isin(list(configured)))
-    if databases is None:
+    if databases is None and not configured:
         raise ValueError("give database names or a databases table")
-    online = databases.where(
-        (F.col("state_desc") == "ONLINE") & (F.col("database_id") > LAST_SYSTEM_DATABASE_ID)
-    ).select("source_instance", F.col("name").alias("database_name"))
-    return df.join(online.distinct(), ["source_instance", "database_name"], "left_semi")
+    chosen = None
+    if configured:
+        pairs = [(instance, name) for instance, names in configured.items() for name in names]
+        wanted = df.sparkSession.createDataFrame(pairs, "source_instance string, database_name string")
+        chosen = df.join(wanted, key, "left_semi").select(*df.columns)
+        if databases is None:
+            return chosen
+        instances = [instance for instance, names in configured.items() if names]
+        df = df.where(~F.col("source_instance").isin(instances))
+    users = databases.where(F.col("database_id") > LAST_SYSTEM_DATABASE_ID).withColumn("database_name", F.col("name"))
+    if "snapshot_time_utc" not in users.columns:
+        users = users.groupBy(*key).agg(F.max((F.col("state_desc") == "ONLINE").cast("int")).alias("_online"))
+    else:
+        users = users.withColumn("_online", (F.col("state_desc") == "ONLINE").cast("int"))
+    online = names_at(df, users, key, {"_is_online": "_online"}, "inner").where("_is_online = 1").drop("_is_online")
+    online = online.select(*df.columns)
+    return online if chosen is None else chosen.unionByName(online)

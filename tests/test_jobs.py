@@ -117,3 +117,25 @@ def test_landed_sources(spark, tmp_path):
     for n in [1, 2]:
         (tmp_path / f"Workload_{n}.xml").write_text("\n".join(EVENTS[:n]))
     assert read_events(spark, str(tmp_path / "Workload*.xml")).count() == 3
+
+
+def test_quiet_instances_get_a_row_and_a_bad_one_stops_no_other(spark, store):
+    columns = "source_instance string, snapshot_time_utc timestamp, wait_type string, wait_time_ms long, waiting_tasks_count long"
+    data = [(n, START, "WAITFOR" if n == "quiet" else "CXPACKET", -1 if n == "bad" else 8, 1) for n in ("a", "b", "bad", "quiet", "z")]
+    frame = spark.createDataFrame(data, columns)
+    stops = F.when(F.col("wait_time_ms") < 0, F.raise_error(F.lit("unreadable"))).otherwise(F.col("wait_time_ms"))
+    assert jobs.run_task(store, "waits", {"wait_stats": frame.withColumn("wait_time_ms", stops)}, START) == 3
+    assert {r.source_instance for r in store.table("fact_wait_stats").read().collect()} == {"a", "b", "z"}
+    runs = {r.source_instance: (r.status, r.row_count) for r in store.ledger.runs().collect()}
+    assert runs == {"a": ("success", 1), "b": ("success", 1), "z": ("success", 1), "quiet": ("success", 0), "bad": ("failed", None), "*": ("failed", 3)}
+
+
+def test_unreadable_events_are_kept_once_and_counted(spark, store):
+    bad = call("2024-05-01T00:00:07.000Z", "app", "web", 1, 1, 1).replace(">1<", ">bad<", 1)
+    timeless = call("sometime", "app", "web", 1, 1, 1)
+    for n in range(2):
+        jobs.run_task(store, "workload", {"event_log": log(spark, *EVENTS, bad, timeless)}, t(f"2024-05-01 1{n}:05:00"))
+    aside = store.quarantine("workload").collect()
+    assert {bad, timeless} <= {r.event_data for r in aside} and len(aside) == len({r.event_data for r in aside})
+    notes = [r.error_message for r in store.ledger.runs().where("source_instance = 'i'").orderBy("started_at_utc").collect()]
+    assert notes == [f"{len(aside)} events set aside", None]

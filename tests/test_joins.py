@@ -3,9 +3,10 @@ import time
 
 import pytest
 
-from gaugeworks.operators import asof_lookback, exclude, expand_dotted, first_match
+from gaugeworks.operators import asof_lookback, exclude, expand_dotted, first_match, names_at
 from gaugeworks.settings import SEED_RULES
-from tests.conftest import d, rows
+from gaugeworks.sources import in_databases
+from tests.conftest import d, rows, t
 
 RULES = "class_id int, priority int, program_like string, workload_category string, notes string"
 
@@ -123,3 +124,31 @@ def test_pattern_language(spark, as_table):
         "corp\\app 1": "slash", "a_b": "literal", "axb": "Unknown", "xby": "class", "xdy": "Unknown", "nz": "not", "n1": "Unknown",
         "p.qz": "dot", "pxqz": "Unknown", None: "Unknown",
     }
+
+
+def test_names_as_of_the_poll(spark):
+    names = spark.createDataFrame(
+        [("i", 5, "old", t(f"2024-05-01 0{h}:00:00")) for h in (1, 1, 2, 3)] + [("i", 5, "new", t(f"2024-05-01 0{h}:00:00")) for h in (4, 5)],
+        "source_instance string, database_id int, name string, snapshot_time_utc timestamp",
+    )
+    polls = [("i", k, t(f"2024-05-01 0{h}:30:00")) for k, h in [(5, 0), (5, 2), (5, 3), (5, 4), (5, 9), (6, 2), (None, 2)]]
+    df = spark.createDataFrame(polls, "source_instance string, database_id int, snapshot_time_utc timestamp")
+    key = ["source_instance", "database_id"]
+    got = names_at(df, names, key, {"database_name": "name"})
+    assert sorted((r.database_id or 0, r.snapshot_time_utc.hour, r.database_name) for r in got.collect()) == [
+        (0, 2, None), (5, 0, "old"), (5, 2, "old"), (5, 3, "old"), (5, 4, "new"), (5, 9, "new"), (6, 2, None)]
+    assert names_at(df, names, key, {"database_name": "name"}, "inner").count() == 5
+    current = names.where("name = 'new'").drop("snapshot_time_utc").distinct()
+    assert names_at(df, current, key, {"database_name": "name"}).where("database_name = 'new'").count() == 5
+
+
+def test_databases_by_instance_and_poll(spark):
+    columns = "source_instance string, snapshot_time_utc timestamp, database_id int, name string, state_desc string"
+    one, two = t("2024-05-01 01:00:00"), t("2024-05-01 02:00:00")
+    listed = spark.createDataFrame(
+        [("i", one, 5, "a", "ONLINE"), ("i", two, 5, "a", "OFFLINE"), ("j", one, 5, "a", "ONLINE"), ("j", one, 6, "b", "ONLINE"), ("i", one, 1, "m", "ONLINE")], columns)
+    df = spark.createDataFrame(
+        [(i, at, n) for i in "ij" for at in (one, two) for n in "abm"], "source_instance string, snapshot_time_utc timestamp, database_name string")
+    assert rows(in_databases(df, databases=listed)) == {("i", one, "a"), *[("j", at, n) for at in (one, two) for n in "ab"]}
+    assert rows(in_databases(df, {"j": ["b"]}, listed)) == {("i", one, "a"), ("j", one, "b"), ("j", two, "b")}
+    assert in_databases(df, ["a"]).count() == 4
