@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import traceback
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -28,12 +28,18 @@ class Store:
         self.spark = spark
         self.root = root.rstrip("/")
         self.ledger = RunLedger(spark, f"{self.root}/collection_run")
+        self.on_write: list[Callable[[str], None]] = []
 
     def table(self, name: str) -> FactTable:
-        return FactTable(self.spark, TABLES[name], f"{self.root}/{name}")
+        return FactTable(self.spark, TABLES[name], f"{self.root}/{name}", self._written)
 
-    def facts(self) -> dict[str, DataFrame]:
-        return {name: self.table(name).read() for name in TABLES}
+    def _written(self, name: str) -> None:
+        for follow in self.on_write:
+            follow(name)
+
+    def facts(self, since: dt.date | None = None, until: dt.date | None = None) -> dict[str, DataFrame]:
+        """Every fact table; the bounds (inclusive days) prune its partitions."""
+        return {name: self.table(name).read(since, until) for name in TABLES}
 
     def rules(self) -> DataFrame:
         """The rule table, seeded with the default rules while it does not exist."""

@@ -378,8 +378,10 @@ def register_views(
     as_of: dt.datetime,
     rules: DataFrame | Sequence[tuple] = settings.SEED_RULES,
     prefix: str = "rpt_",
+    changed: str | None = None,
 ) -> list[str]:
-    """Expose every report whose facts are given as a temporary view, for SQL users and dashboards."""
+    """Expose every report whose facts are given as a temporary view, for SQL users and dashboards; with `changed`, only those
+    that read that table. The views keep the files that the frames had listed, see `plans.views` for such that follow them."""
     reports: dict[str, tuple[list[str], Callable[..., DataFrame]]] = {
         "cpu_timeline": (["fact_cpu"], cpu_timeline),
         "cpu_hour_heatmap": (["fact_cpu"], cpu_hour_heatmap),
@@ -403,7 +405,7 @@ def register_views(
     }
     made = []
     for name, (needed, build) in reports.items():
-        if all(table in facts for table in needed):
+        if all(table in facts for table in needed) and (changed is None or changed in needed):
             build(*[facts[table] for table in needed]).createOrReplaceTempView(prefix + name)
             made.append(prefix + name)
     return made

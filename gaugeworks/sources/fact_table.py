@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -24,11 +24,16 @@ class FactTable:
     several days is not atomic across them, and rerunning it gives the same table.
     """
 
-    def __init__(self, spark: SparkSession, spec: TableSpec, path: str):
+    def __init__(self, spark: SparkSession, spec: TableSpec, path: str, on_write: Callable[[str], None] | None = None):
         self.spark = spark
         self.spec = spec
         self.path = path.rstrip("/")
         self._staged: list[str] = []
+        self._on_write = on_write  # called with the table's name after each change of its files
+
+    def _changed(self) -> None:
+        if self._on_write is not None:
+            self._on_write(self.spec.name)
 
     @property
     def _columns(self) -> str:
@@ -87,6 +92,7 @@ class FactTable:
             .partitionBy(DAY)
             .parquet(self.path)
         )
+        self._changed()
 
     def upsert(self, batch: DataFrame, sequence: Sequence[str] = ()) -> DataFrame:
         """Insert or replace by natural key (NULL key parts match each other); returns the batch's rows as
@@ -142,6 +148,8 @@ class FactTable:
                     dropped.append(f"{DAY}={boundary}")
                 else:
                     self._write(staged, "overwrite")
+        if dropped:
+            self._changed()
         return dropped
 
     def _day_folders(self) -> list[tuple[str, dt.date]]:
