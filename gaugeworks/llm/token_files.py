@@ -11,6 +11,7 @@ documents in ascending doc_id order; shards are numbered in that order too.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -32,6 +33,8 @@ LAYOUT = {
     2: (60, 1), 3: (30, 2), 4: (20, 3), 5: (15, 4), 6: (12, 5), 7: (10, 6), 8: (8, 7),
     9: (7, 8), 10: (6, 10), 11: (5, 12), 12: (4, 15), 13: (3, 20), 14: (2, 30), 15: (1, 60),
 }
+#: Punctuation that is a token of its own behind a letter or digit (an apostrophe may start a suffix).
+MARKS = b",.!?;:#*$%&"
 RUN_BITS = 10  # a run never leaves its block
 WIDE = np.uint64(1) << np.uint64(60)
 WIDTHS = np.array([1 << bits for _, bits in LAYOUT.values()], np.uint64)
@@ -57,20 +60,20 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at = np.arange(BLOCK, dtype=np.int16)
     left = (end[:, None] - at).astype(np.int16)
 
-    take = np.ones((lanes, BLOCK), np.int16)
-    chosen = np.full((lanes, BLOCK), ESCAPE, np.uint8)
-    widths = np.zeros((lanes, 2 * BLOCK), np.uint8)  # zeros behind the end fit anywhere
+    # zeros behind a block's end fit anywhere, and are wide enough that no word reaches the next block
+    stride = BLOCK + 64
+    take = np.ones((lanes, stride), np.int16)
+    chosen = np.full((lanes, stride), ESCAPE, np.uint8)
+    widths = np.zeros((lanes, stride), np.uint8)
     widths[:, :BLOCK] = np.searchsorted(WIDTHS, values, side="right")
     for selector in sorted(LAYOUT, reverse=True):  # widest first, so that words with more ids overwrite
         count = LAYOUT[selector][0]
-        fits = widths <= selector - 2
-        if fits[:, :BLOCK].sum() >= min(count, n - (lanes - 1) * BLOCK):
-            seen = np.cumsum(fits[:, : BLOCK + count], axis=1, dtype=np.int16)
-            good = np.empty((lanes, BLOCK), bool)
-            good[:, 0] = seen[:, count - 1] == count
-            np.equal(seen[:, count : BLOCK + count - 1] - seen[:, : BLOCK - 1], count, out=good[:, 1:])
-            np.copyto(chosen, selector, where=good)
-            np.copyto(take, np.int16(count), where=good)
+        fits = np.flatnonzero(widths.ravel() <= selector - 2)
+        first = fits[: max(0, len(fits) - count + 1)]
+        first = first[fits[count - 1 :] - first == count - 1]
+        chosen.ravel()[first] = selector
+        take.ravel()[first] = count
+    take, chosen = take[:, :BLOCK], chosen[:, :BLOCK]
     take = np.minimum(take, np.maximum(left, 1))
     same = np.zeros((lanes, BLOCK), bool)
     same[:, :-1] = values[:, 1:] == values[:, :-1]
@@ -156,6 +159,10 @@ def word_encoder(path: str, specials_as_text: bool) -> Callable[[list[str]], lis
     ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
     known: dict[bytes, bytes] = {}
 
+    def normal(piece: bytes) -> str:
+        """What the tokenizer's normaliser makes of it: a letter may become one with a mark behind it."""
+        return unicodedata.normalize("NFC", piece.decode()).lower()
+
     def one_by_one(pieces: list[bytes]) -> None:
         got = tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
         known.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(pieces, got, strict=True))
@@ -172,15 +179,16 @@ def word_encoder(path: str, specials_as_text: bool) -> Callable[[list[str]], lis
                 one_by_one(part)
 
     def learn(pieces: list[bytes]) -> None:
-        """A letter or digit never merges with the comma or full stop that ends its piece."""
-        tails = [p for p in pieces if len(p) > 1 and p[-1:] in (b",", b".") and p[:-1].decode()[-1].isalnum()]
-        fresh = {*pieces, *(p[:-1] for p in tails), *(p[-1:] for p in tails)} - known.keys() - set(tails)
-        plain = [p for p in fresh if (w := p.decode()).isalpha() and w.lower().isalpha()]
+        """A letter or digit never merges with the punctuation that ends its piece."""
+        marked = [(p, p.rstrip(MARKS)) for p in pieces if p[-1] in MARKS]
+        tails = [(p, h) for p, h in marked if h and (h[-1:].isalnum() or h[-1] > 127 and normal(h)[-1].isalnum())]
+        fresh = {*pieces, *(h for _, h in tails), *{p[len(h) :] for p, h in tails}}.difference(known, [p for p, _ in tails])
+        plain = [p for p in fresh if p.isalpha() or not p.isascii() and p.decode().isalpha() and normal(p).isalpha()]
         learn_words(plain)
-        other = list(fresh - set(plain))
+        other = list(fresh.difference(plain))
         for i in range(0, len(other), 4096):
             one_by_one(other[i : i + 4096])
-        known.update((p, known[p[:-1]] + known[p[-1:]]) for p in tails)
+        known.update((p, known[h] + known[p[len(h) :]]) for p, h in tails)
 
     def encode(texts: list[str]) -> list[bytes]:
         raw = [t.encode() for t in texts]
