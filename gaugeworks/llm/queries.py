@@ -1,7 +1,8 @@
-"""Registered queries of the ten operators, over the driver's tables, and their SQL where SQL can say the same."""
+"""Registered queries of the thirteen operators, over the driver's tables, and their SQL where SQL can say the same."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.llm import (
-    byte_bpe, decontaminate, host_reputation, language, main_text, near_join, pii, quality_ranking, quality_rules, token_files,
+    byte_bpe, decontaminate, host_reputation, language, line_dedup, main_text, near_join, pii, quality_ranking, quality_rules, ranked_search,
+    token_files, whitening,
 )
 from gaugeworks.llm.common import held_out, table
 from gaugeworks.session import scratch_path
@@ -90,12 +92,29 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.encode_documents(table(spark, folder, "documents"), public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN)
 
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = whitening.whiten(table(spark, folder, "embeddings"))
+    return rows.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
+def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    digests = "n_lines long, n_dropped long, kept_sha256 string"
+    return line_dedup.cut_texts(
+        docs, line_dedup.keep_bitmaps(docs), ["doc_id"], digests, lambda text, n, lost: [n, lost, hashlib.sha256(text.encode()).hexdigest()]
+    )
+
+
 def callables() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_token_files, op2_decontaminate, op3_host_reputation, op4_pii, op5_quality_rules, op6_main_text, op7_language, op8_near_join,
-            op9_quality_ranking, op10_byte_bpe,
+            op9_quality_ranking, op10_byte_bpe, op11_ranked_search, op12_whitening, op13_line_dedup,
         )
     }
 
