@@ -15,13 +15,17 @@ import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gaugeworks.llm.common import slices
+
 BLOCK = 512
 CHUNK_IDS = 1 << 19
 #: Words and ids that a worker remembers at most.
@@ -35,9 +39,13 @@ LAYOUT = {
 }
 #: Punctuation that is a token of its own behind a letter or digit (an apostrophe may start a suffix).
 MARKS = b",.!?;:#*$%&"
+ENDS = {bytes([b]) for b in MARKS}
+#: Bytes of texts that are encoded together.
+SLICE_BYTES = 6 << 20
 RUN_BITS = 10  # a run never leaves its block
 WIDE = np.uint64(1) << np.uint64(60)
 WIDTHS = np.array([1 << bits for _, bits in LAYOUT.values()], np.uint64)
+SMALL_WIDTHS = np.searchsorted(WIDTHS, np.arange(1 << 16, dtype=np.uint64), side="right").astype(np.uint8)
 
 CHUNK_SCHEMA = (
     "shard int, chunk int, first_id long, n_ids long, doc_ids array<bigint>, lengths array<bigint>, "
@@ -46,6 +54,13 @@ CHUNK_SCHEMA = (
 READ_SCHEMA = "doc_id long, shard int, offset long, n_tokens long, ids_crc32 long"
 
 
+def width_of(values: np.ndarray) -> np.ndarray:
+    """The index of the narrowest layout that holds each value; their number where none does."""
+    if int(values.max()) < len(SMALL_WIDTHS):
+        return SMALL_WIDTHS[values.astype(np.int64)]
+    return np.searchsorted(WIDTHS, values, side="right")
+
+
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words, first word of each block, and escaped values of a sequence of unsigned ids."""
     ids = np.ascontiguousarray(ids, np.uint64)
@@ -62,11 +77,12 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     # zeros behind a block's end fit anywhere, and are wide enough that no word reaches the next block
     stride = BLOCK + 64
-    take = np.ones((lanes, stride), np.int16)
-    chosen = np.full((lanes, stride), ESCAPE, np.uint8)
     widths = np.zeros((lanes, stride), np.uint8)
-    widths[:, :BLOCK] = np.searchsorted(WIDTHS, values, side="right")
-    for selector in sorted(LAYOUT, reverse=True):  # widest first, so that words with more ids overwrite
+    widths[:, :BLOCK] = width_of(values)
+    all_fit = int(widths.max()) + 2  # the narrowest selector that suits every value
+    take = np.full((lanes, stride), LAYOUT[all_fit][0] if all_fit in LAYOUT else 1, np.int16)
+    chosen = np.full((lanes, stride), all_fit if all_fit in LAYOUT else ESCAPE, np.uint8)
+    for selector in sorted((s for s in LAYOUT if s < all_fit), reverse=True):  # widest first, so that words with more ids overwrite
         count = LAYOUT[selector][0]
         fits = np.flatnonzero(widths.ravel() <= selector - 2)
         first = fits[: max(0, len(fits) - count + 1)]
@@ -140,12 +156,80 @@ def unpack(words: np.ndarray, block_words: np.ndarray, escapes: np.ndarray, n: i
     return out
 
 
+def ragged(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The slices of a pool, one behind the other."""
+    ends = np.cumsum(sizes)
+    return pool[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+class Words:
+    """Ids of words: a number for each word, and all their ids in one array."""
+
+    def __init__(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.starts, self.sizes, self.pool = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64), np.empty(1 << 18, np.uint32)
+        self.used = 0
+
+    @staticmethod
+    def _with(array: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
+        if at + len(values) > len(array):
+            array = np.concatenate([array, np.empty(max(len(array), len(values)), array.dtype)])
+        array[at : at + len(values)] = values
+        return array
+
+    def add(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """New words (none twice) with their ids, one word's behind the other's."""
+        n = len(self.number)
+        self.starts = self._with(self.starts, n, self.used + np.cumsum(sizes) - sizes)
+        self.sizes = self._with(self.sizes, n, sizes)
+        self.pool = self._with(self.pool, self.used, ids)
+        self.used += len(ids)
+        self.number.update(zip(words, range(n, n + len(words)), strict=True))
+
+    def ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their count for a sequence of words."""
+        sizes = self.sizes[numbers]
+        return ragged(self.pool, self.starts[numbers], sizes), sizes
+
+
+def parts_at_white_space(path: str) -> bool:
+    """Whether the file's normaliser and pre-tokenizer are those for which pieces between white space encode alone."""
+    import json
+
+    with open(path, encoding="utf-8") as f:
+        told = json.load(f)
+    steps = (told.get("normalizer") or {}).get("normalizers") or []
+    splits = (told.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    letters = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    return (
+        [x.get("type") for x in steps] == ["NFC", "Replace", "Lowercase"]
+        and steps[1].get("pattern") == {"Regex": r"\s+"}
+        and [x.get("type") for x in splits] == ["Split", "ByteLevel"]
+        and splits[0].get("pattern") == {"Regex": letters}
+        and told["model"].get("end_of_word_suffix") == "</w>"
+    )
+
+
+Encode = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
+
+
+def whole_encoder(tokenizer) -> Encode:  # noqa: ANN001
+    """Ids of all texts, one behind the other, and how many each has; for any tokenizer."""
+
+    def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        got = [np.array(e.ids, np.uint32) for e in tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+        return np.concatenate([*got, np.empty(0, np.uint32)]), np.array([len(e) for e in got], np.int64)
+
+    return encode
+
+
 @lru_cache(maxsize=2)
-def word_encoder(path: str, specials_as_text: bool) -> Callable[[list[str]], list[bytes]]:
-    """Ids of texts, as unsigned 32-bit integers.
+def word_encoder(path: str, specials_as_text: bool) -> Encode:
+    """Ids of all texts, one behind the other, and how many each has.
 
-    The tokenizer's pattern never crosses white space and its normaliser never joins across it, so each piece between ASCII white
-    space is encoded once and remembered. Special tokens hold no white space either.
+    Where the tokenizer's pattern never crosses white space and its normaliser never joins across it, texts are parted at ASCII white
+    space, a batch's distinct pieces are encoded once and remembered, and ids are gathered by piece numbers. Special tokens hold no white
+    space either. Other tokenizers encode whole texts.
     """
     import os
 
@@ -154,49 +238,65 @@ def word_encoder(path: str, specials_as_text: bool) -> Callable[[list[str]], lis
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = specials_as_text
+    if not parts_at_white_space(path):
+        return whole_encoder(tokenizer)
     vocabulary = tokenizer.get_vocab(with_added_tokens=True)
     ends = np.zeros(max(vocabulary.values()) + 1, bool)
     ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
-    known: dict[bytes, bytes] = {}
+    held = {"words": Words()}
 
     def normal(piece: bytes) -> str:
         """What the tokenizer's normaliser makes of it: a letter may become one with a mark behind it."""
         return unicodedata.normalize("NFC", piece.decode()).lower()
 
-    def one_by_one(pieces: list[bytes]) -> None:
-        got = tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
-        known.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(pieces, got, strict=True))
+    def one_by_one(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        got = [e.ids for e in tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(got), np.uint32), np.fromiter(map(len, got), np.int64, len(got))
 
-    def learn_words(pieces: list[bytes]) -> None:
+    def learn_words(words: Words, pieces: list[bytes]) -> None:
         """Pieces of letters only: many in one call, parted where a word ends."""
         for i in range(0, len(pieces), 512):
             part = pieces[i : i + 512]
-            ids = np.array(tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, "<u4")
-            stops = (np.flatnonzero(ends[ids]) + 1).tolist()
-            if len(stops) == len(part):
-                known.update((p, ids[a:b].tobytes()) for p, a, b in zip(part, [0, *stops], stops, strict=False))
-            else:
-                one_by_one(part)
-
-    def learn(pieces: list[bytes]) -> None:
+            ids = np.array(tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, np.uint32)
+            stops = np.flatnonzero(ends[ids]) + 1
+            words.add(part, *((ids, np.diff(stops, prepend=0)) if len(stops) == len(part) else one_by_one(part)))
+
+    def learn(words: Words, pieces: list[bytes]) -> None:
         """A letter or digit never merges with the punctuation that ends its piece."""
-        marked = [(p, p.rstrip(MARKS)) for p in pieces if p[-1] in MARKS]
+        marked = [(p, p.rstrip(MARKS)) for p in pieces if p[-1:] in ENDS]
         tails = [(p, h) for p, h in marked if h and (h[-1:].isalnum() or h[-1] > 127 and normal(h)[-1].isalnum())]
-        fresh = {*pieces, *(h for _, h in tails), *{p[len(h) :] for p, h in tails}}.difference(known, [p for p, _ in tails])
-        plain = [p for p in fresh if p.isalpha() or not p.isascii() and p.decode().isalpha() and normal(p).isalpha()]
-        learn_words(plain)
-        other = list(fresh.difference(plain))
+        split = {p for p, _ in tails}
+        fresh = {p for p in pieces if p not in split}
+        fresh.update(x for p, h in tails for x in (h, p[len(h) :]))
+        fresh = [p for p in fresh if p not in words.number]
+        plain = [p for p in fresh if p.isalpha() or p and not p.isascii() and p.decode().isalpha() and normal(p).isalpha()]
+        learn_words(words, plain)
+        taken = set(plain)
+        other = [p for p in fresh if p not in taken]
         for i in range(0, len(other), 4096):
-            one_by_one(other[i : i + 4096])
-        known.update((p, known[h] + known[p[len(h) :]]) for p, h in tails)
-
-    def encode(texts: list[str]) -> list[bytes]:
-        raw = [t.encode() for t in texts]
-        pieces = [(t if b"<|" in t else t.lower()).split() for t in raw]  # special tokens keep their case
-        if len(known) > REMEMBERED:
-            known.clear()
-        learn(list(set().union(*pieces) - known.keys()))
-        return [b"".join(map(known.__getitem__, p)) for p in pieces]
+            words.add(other[i : i + 4096], *one_by_one(other[i : i + 4096]))
+        if tails:
+            ids, sizes = words.ids(np.array([words.number[x] for p, h in tails for x in (h, p[len(h) :])]))
+            words.add([p for p, _ in tails], ids, sizes.reshape(-1, 2).sum(axis=1))
+
+    def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        texts = texts.take(pa.array(np.arange(len(texts)))).cast(pa.large_string())  # a copy: ascii_lower misreads slices
+        pieces = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))  # special tokens keep their case
+        coded = pieces.flatten().dictionary_encode()
+        distinct = coded.dictionary.cast(pa.large_binary()).to_pylist()
+        if len(held["words"].number) > REMEMBERED:
+            held["words"] = Words()
+        words = held["words"]
+        found = list(map(words.number.get, distinct))
+        new = [p for p, n in zip(distinct, found, strict=True) if n is None]
+        if new:
+            learn(words, new)
+            found = [words.number[p] if n is None else n for p, n in zip(distinct, found, strict=True)]
+        numbers = np.array(found, np.int64)
+        ids, sizes = words.ids(numbers[coded.indices.to_numpy()])
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        offsets = pieces.offsets.to_numpy()
+        return ids, before[offsets[1:] - offsets[0]] - before[offsets[:-1] - offsets[0]]
 
     return encode
 
@@ -219,45 +319,50 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, specia
     A null text counts as empty and holds the end id alone. Rows without a doc_id come first; rows of one doc_id follow
     each other in the order of their texts. Columns other than doc_id and text are ignored.
     """
-    end = np.array([end_id], "<u4").tobytes()
+    schema = pa.schema([("shard", pa.int32()), ("chunk", pa.int32()), ("first_id", pa.int64()), ("n_ids", pa.int64()),
+                        ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())),
+                        *[(c, pa.binary()) for c in ("words", "block_words", "escapes")]])
 
-    def chunks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def chunks(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, shard = word_encoder(tokenizer, specials_as_text), TaskContext.get().partitionId()
-        state = {"chunk": 0, "first": 0}
-        held: list[bytes] = []
-        doc_ids: list = []
+        state = {"chunk": 0, "first": 0, "size": 0}
+        held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
 
-        def chunk() -> pd.DataFrame:
-            ids = np.frombuffer(b"".join(held), "<u4")
+        def chunk() -> pa.RecordBatch:
+            ids = np.concatenate([i for *_, i in held])
             words, block_words, escapes = pack(ids)
             row = [
-                shard, state["chunk"], state["first"], len(ids), list(doc_ids), [len(h) // 4 for h in held],
+                shard, state["chunk"], state["first"], len(ids), pa.concat_arrays([d for d, *_ in held]), np.concatenate([n for _, n, _ in held]),
                 words.astype("<u8").tobytes(), block_words.astype("<u4").tobytes(), escapes.astype("<u8").tobytes(),
             ]
-            state["chunk"] += 1
-            state["first"] += len(ids)
+            state.update(chunk=state["chunk"] + 1, first=state["first"] + len(ids), size=0)
             held.clear()
-            doc_ids.clear()
-            return pd.DataFrame([row], columns=[c.split()[0] for c in CHUNK_SCHEMA.split(", ")])
-
-        size = 0
-        for frame in frames:
-            texts = frame["text"].tolist()
-            keys = [None if pd.isna(k) else int(k) for k in frame["doc_id"]]
-            for a, b in batches(texts):
-                for key, ids in zip(keys[a:b], encode(texts[a:b]), strict=True):
-                    held.append(ids + end)
-                    doc_ids.append(key)
-                    size += len(ids) // 4 + 1
-                    if size >= CHUNK_IDS:
-                        yield chunk()
-                        size = 0
+            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
+
+        for batch in (part for whole in batches_ for part in slices(whole, "text", SLICE_BYTES)):
+            ids, counts = encode(batch.column("text"))
+            counts = counts + 1
+            stops = np.cumsum(counts)
+            ended = np.full(stops[-1], end_id, np.uint32)
+            inside = np.ones(len(ended), bool)
+            inside[stops - 1] = False
+            ended[inside] = ids
+            start = 0
+            while start < len(counts):  # whole documents until the chunk is full
+                before = int(stops[start - 1]) if start else 0
+                stop = min(len(counts), int(np.searchsorted(stops, before + CHUNK_IDS - state["size"])) + 1)
+                held.append((batch.column("doc_id").slice(start, stop - start), counts[start:stop], ended[before : stops[stop - 1]]))
+                state["size"] += int(stops[stop - 1]) - before
+                if state["size"] >= CHUNK_IDS:
+                    yield chunk()
+                start = stop
         if held:
             yield chunk()
+        pa.default_memory_pool().release_unused()  # workers live on
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInPandas(chunks, CHUNK_SCHEMA).write.parquet(path)
+    ordered.mapInArrow(chunks, CHUNK_SCHEMA).write.parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -266,25 +371,17 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     Chunks decode on their own; the ids before a shard come from one small row per shard.
     """
 
-    def decode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.itertuples(index=False):
-                ids = unpack(
-                    np.frombuffer(row.words, "<u8"), np.frombuffer(row.block_words, "<u4"), np.frombuffer(row.escapes, "<u8"), row.n_ids
-                )
-                lengths = np.asarray(row.lengths, np.int64)
-                ends = np.cumsum(lengths)
-                raw = memoryview(ids.astype("<u4").tobytes())
-                crc = [zlib.crc32(raw[4 * (e - k) : 4 * e]) for e, k in zip(ends.tolist(), lengths.tolist(), strict=True)]
-                yield pd.DataFrame(
-                    {
-                        "doc_id": pd.array(list(row.doc_ids), dtype="Int64"),
-                        "shard": row.shard,
-                        "offset": row.first_id + ends - lengths,
-                        "n_tokens": lengths,
-                        "ids_crc32": crc,
-                    }
-                )
+    def decode(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (whole.slice(i, 1) for whole in batches_ for i in range(whole.num_rows)):
+            row = {c: batch.column(c)[0] for c in batch.schema.names}
+            n, first, shard = (row[c].as_py() for c in ("n_ids", "first_id", "shard"))
+            ids = unpack(*(np.frombuffer(row[c].as_py(), kind) for c, kind in (("words", "<u8"), ("block_words", "<u4"), ("escapes", "<u8"))), n)
+            lengths = row["lengths"].values.to_numpy()
+            ends = np.cumsum(lengths)
+            raw = memoryview(ids.astype("<u4").tobytes())
+            crc = [zlib.crc32(raw[4 * (e - k) : 4 * e]) for e, k in zip(ends.tolist(), lengths.tolist(), strict=True)]
+            columns = [row["doc_ids"].values, np.full(len(ends), shard, np.int32), first + ends - lengths, lengths, np.array(crc, np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[c.split()[0] for c in READ_SCHEMA.split(", ")])
 
     chunks = spark.read.schema(CHUNK_SCHEMA).parquet(path)
     shards = chunks.groupBy("shard").agg(F.sum("n_ids").alias("n"))
@@ -293,7 +390,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     )
     # a row per shard file: the driver lists as many files anyway
     return (
-        chunks.mapInPandas(decode, READ_SCHEMA)
+        chunks.mapInArrow(decode, READ_SCHEMA)
         .join(F.broadcast(before), "shard")
         .select("doc_id", (F.col("before") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
     )

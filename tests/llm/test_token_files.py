@@ -64,3 +64,29 @@ def test_no_documents(spark):
     path = scratch_path(spark, "tokens")
     token_files.write_tokens(odd_documents(spark).limit(0), path, PATH, 1)
     assert token_files.read_tokens(spark, path).count() == 0
+
+
+def test_large_ids_beside_rows_without_one(spark):
+    docs = spark.createDataFrame([(2**53 + 1, "one"), (None, "two words"), (5, None)], "doc_id long, text string").coalesce(1)
+    path = scratch_path(spark, "tokens")
+    token_files.write_tokens(docs, path, PATH, 1)
+    assert [r.doc_id for r in token_files.read_tokens(spark, path).orderBy("start").collect()] == [None, 5, 2**53 + 1]
+
+
+def test_other_tokenizers_encode_whole_texts(spark, sf_small):
+    path, other = scratch_path(spark, "tokens"), public_tokenizers.path("byte_bpe_50k.json")
+    docs = odd_documents(spark).where("doc_id is not null").dropDuplicates(["doc_id"])
+    token_files.write_tokens(docs, path, other, 1)
+    tokenizer = Tokenizer.from_file(other)
+    want = {r.doc_id: len(tokenizer.encode(r.text or "", add_special_tokens=False).ids) + 1 for r in docs.collect()}
+    assert {r.doc_id: r.n_tokens for r in token_files.read_tokens(spark, path).collect()} == want
+
+
+def test_chunks_of_whole_documents(spark, monkeypatch):
+    """Documents around a chunk's size, in several slices."""
+    rows = [(i, f"word{i % 7}, and more! " * (i % 90)) for i in range(400)]
+    monkeypatch.setattr(token_files, "CHUNK_IDS", 150)
+    monkeypatch.setattr(token_files, "SLICE_BYTES", 3000)
+    path = scratch_path(spark, "tokens")
+    token_files.write_tokens(spark.createDataFrame(rows, "doc_id long, text string"), path, PATH, 1)
+    assert [tuple(r) for r in token_files.read_tokens(spark, path).orderBy("start").collect()] == expected(rows)
