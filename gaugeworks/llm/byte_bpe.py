@@ -16,20 +16,13 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import DataFrame
 
-from gaugeworks.llm.common import map_texts
+from gaugeworks.llm.common import byte_characters, map_texts
 from gaugeworks.llm.token_files import batches
 
 REMEMBERED = 250_000
 SCHEMA = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
-def byte_characters() -> list[str]:
-    """A character for each byte: itself where printable, else one from U+0100 on."""
-    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    spare = iter(range(0x100, 0x200))
-    return [chr(b if b in printable else next(spare)) for b in range(256)]
-
-
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}

@@ -24,12 +24,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import slices
+from gaugeworks.llm.common import byte_characters, slices
 
 BLOCK = 512
 CHUNK_IDS = 1 << 19
-#: Words and ids that a worker remembers at most.
-REMEMBERED = 800_000
+#: Words that a worker remembers at most.
+REMEMBERED = 1_000_000
 
 #: Selector: ids in a word, bits of an id. Fixed values of the format; 0 is the escape, 1 the run.
 ESCAPE, RUN = 0, 1
@@ -41,7 +41,7 @@ LAYOUT = {
 MARKS = b",.!?;:#*$%&"
 ENDS = {bytes([b]) for b in MARKS}
 #: Bytes of texts that are encoded together.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 10 << 20
 RUN_BITS = 10  # a run never leaves its block
 WIDE = np.uint64(1) << np.uint64(60)
 WIDTHS = np.array([1 << bits for _, bits in LAYOUT.values()], np.uint64)
@@ -240,9 +240,7 @@ def word_encoder(path: str, specials_as_text: bool) -> Encode:
     tokenizer.encode_special_tokens = specials_as_text
     if not parts_at_white_space(path):
         return whole_encoder(tokenizer)
-    vocabulary = tokenizer.get_vocab(with_added_tokens=True)
-    ends = np.zeros(max(vocabulary.values()) + 1, bool)
-    ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+    model, as_characters = tokenizer.model, str.maketrans({chr(b): c for b, c in enumerate(byte_characters())})
     held = {"words": Words()}
 
     def normal(piece: bytes) -> str:
@@ -253,13 +251,16 @@ def word_encoder(path: str, specials_as_text: bool) -> Encode:
         got = [e.ids for e in tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
         return np.fromiter(chain.from_iterable(got), np.uint32), np.fromiter(map(len, got), np.int64, len(got))
 
-    def learn_words(words: Words, pieces: list[bytes]) -> None:
-        """Pieces of letters only: many in one call, parted where a word ends."""
-        for i in range(0, len(pieces), 512):
-            part = pieces[i : i + 512]
-            ids = np.array(tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, np.uint32)
-            stops = np.flatnonzero(ends[ids]) + 1
-            words.add(part, *((ids, np.diff(stops, prepend=0)) if len(stops) == len(part) else one_by_one(part)))
+    def simple(piece: bytes) -> bool:
+        """Letters only, which the normaliser leaves alone: the model's own word."""
+        if piece.isascii():
+            return piece.isalpha()
+        text = piece.decode()
+        return text.isalpha() and max(text) < "\u0250" and text == normal(piece)
+
+    def of_model(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        got = [[t.id for t in model.tokenize(p.decode("latin-1").translate(as_characters))] for p in pieces]
+        return np.fromiter(chain.from_iterable(got), np.uint32), np.fromiter(map(len, got), np.int64, len(got))
 
     def learn(words: Words, pieces: list[bytes]) -> None:
         """A letter or digit never merges with the punctuation that ends its piece."""
@@ -269,8 +270,8 @@ def word_encoder(path: str, specials_as_text: bool) -> Encode:
         fresh = {p for p in pieces if p not in split}
         fresh.update(x for p, h in tails for x in (h, p[len(h) :]))
         fresh = [p for p in fresh if p not in words.number]
-        plain = [p for p in fresh if p.isalpha() or p and not p.isascii() and p.decode().isalpha() and normal(p).isalpha()]
-        learn_words(words, plain)
+        plain = [p for p in fresh if simple(p)]
+        words.add(plain, *of_model(plain))
         taken = set(plain)
         other = [p for p in fresh if p not in taken]
         for i in range(0, len(other), 4096):
