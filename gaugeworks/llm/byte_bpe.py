@@ -12,14 +12,17 @@ import hashlib
 import struct
 from collections.abc import Callable, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from gaugeworks.llm.common import byte_characters, map_texts
-from gaugeworks.llm.token_files import batches
+from gaugeworks.llm.common import Words, byte_characters, map_texts, ragged
 
-REMEMBERED = 250_000
+#: Bytes of words that a worker remembers at most; ids whose strings are made at once.
+REMEMBERED, DIGEST_IDS = 120 << 20, 1 << 17
 SCHEMA = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -65,7 +68,7 @@ def model_bytes(ranks: dict[bytes, int]) -> bytes:
 
 
 class Codec:
-    """Encodes and decodes texts; remembers the ids of words it has seen, up to a bound."""
+    """Encodes and decodes texts; remembers the ids of words it has seen, up to a bound in bytes."""
 
     def __init__(self, rank_path: str, pattern: str) -> None:
         import regex
@@ -75,59 +78,118 @@ class Codec:
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model_bytes(ranks))
         self.parts = regex.compile(pattern).findall
         chars = byte_characters()
-        self.to_chars = {chr(b): c for b, c in enumerate(chars)}
-        self.translate = str.maketrans(self.to_chars)
+        self.translate = str.maketrans({chr(b): c for b, c in enumerate(chars)})
         back = {c: b for b, c in enumerate(chars)}
-        self.pieces = [bytes(back[c] for c in self.processor.id_to_piece(i)) for i in range(len(ranks))]
-        self.decimals = [str(i) for i in range(len(ranks))]
-        self.known: dict[str, bytes] = {}
+        self.pieces = Table([bytes(back[c] for c in self.processor.id_to_piece(i)) for i in range(len(ranks))])
+        self.decimals = Table([b"%d " % i for i in range(len(ranks))])
+        self.words = Words()
+
+    def clear(self) -> None:
+        self.words = Words()
+
+    def _encode_new(self, parts: list[str]) -> None:
+        for i in range(0, len(parts), 8192):
+            some = parts[i : i + 8192]
+            got = self.processor.encode([p.encode().decode("latin-1").translate(self.translate) for p in some], num_threads=1)
+            self.words.add(some, np.fromiter(chain.from_iterable(got), np.uint32), np.fromiter(map(len, got), np.int64, len(got)))
 
     def _learn(self, words: list[str]) -> None:
-        """Words are parted by the pattern; each new part is encoded once, and words are put together from their parts."""
-        known = self.known
-        for i in range(0, len(words), 8192):
-            some = [(w, self.parts(w)) for w in words[i : i + 8192]]
-            new = list({p for _, parts in some for p in parts} - known.keys())
-            coded = [p.encode().decode("latin-1").translate(self.translate) for p in new]
-            for p, ids in zip(new, self.processor.encode(coded, num_threads=1) if coded else [], strict=True):
-                known[p] = np.array(ids, "<u4").tobytes()
-            for w, parts in some:
-                if len(parts) != 1:
-                    known[w] = b"".join([known[p] for p in parts])
-
-    @staticmethod
-    def _words(text: str) -> list[str]:
-        """Pieces that the pattern parts independently.
-
-        Where all white space is single spaces and line feeds inside the text, a part always ends before a space, and the space
-        belongs to what follows. Any other text is one piece.
+        """New words: one part of letters, a space before it or not, or else parted by the pattern and put together from their parts."""
+        number = self.words.number
+        plain, parted, parts = [], [], []
+        for w in words:
+            if (w[1:] if w[0] == " " else w).isalpha():
+                plain.append(w)
+            else:
+                found = self.parts(w)
+                if len(found) == 1:
+                    plain.append(w)
+                else:
+                    parted.append(w)
+                    parts.append(found)
+        self._encode_new([p for p in dict.fromkeys(chain(plain, *parts)) if p not in number])
+        self.words.join(parted, parts)
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """Numbers of words, learned where they are new."""
+        found = list(map(self.words.number.get, words))
+        new = [w for w, n in zip(words, found, strict=True) if n is None and w]
+        if new:
+            self._learn(list(dict.fromkeys(new)))
+        if None in found:
+            if "" not in self.words.number:
+                self.words.add([""], np.empty(0, np.uint32), np.zeros(1, np.int64))
+            found = [self.words.number[w] if n is None else n for w, n in zip(words, found, strict=True)]
+        return np.array(found, np.int64)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one behind the other, and how many each has.
+
+        Where all white space of a text is single spaces and line feeds inside it, a part always ends before a space, and the space belongs to
+        what follows: such texts are cut there, and a batch's distinct words are looked up once. Other texts are parted whole.
         """
-        if not text:
-            return []
-        if len(text.split()) != text.count(" ") + text.count("\n") + 1:
-            return [text]
-        first, *rest = text.split(" ")
-        return [first, *[" " + w for w in rest]]
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        words = [self._words(t) for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        fresh = set().union(*words) - self.known.keys()
-        self._learn(list(fresh))
-        out = [np.frombuffer(b"".join(map(self.known.__getitem__, w)), "<u4").tolist() for w in words]
-        for w in fresh:
-            if len(w) > 256:  # whole texts are not worth remembering
-                del self.known[w]
+        if self.words.held() > REMEMBERED:
+            self.clear()
+        cut = [len(t.split()) == t.count(" ") + t.count("\n") + 1 for t in texts]
+        split = pc.split_pattern(pa.array([t if c else "" for t, c in zip(texts, cut, strict=True)], pa.large_string()), " ")
+        coded = split.flatten().dictionary_encode()
+        distinct, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        offsets = split.offsets.to_numpy()
+        numbers = self.numbers([" " + w for w in distinct])[at]
+        heads = [distinct[i] for i in at[offsets[:-1]]]
+        numbers[offsets[:-1]] = self.numbers(heads)
+        sizes = self.words.sizes[numbers]
+        counts = np.add.reduceat(sizes, offsets[:-1]) if len(texts) else np.empty(0, np.int64)
+        ids = self.words.ids(numbers)[0]
+        whole = [i for i, (t, c) in enumerate(zip(texts, cut, strict=True)) if t and not c]
+        if whole:
+            some = np.split(ids, np.cumsum(counts)[:-1])
+            for i in whole:
+                some[i] = self.words.ids(self.numbers(self.parts(texts[i])))[0]
+                counts[i] = len(some[i])
+            ids = np.concatenate(some)
+        return ids, counts
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        return self.pieces.of(np.asarray(ids, np.int64)).tobytes()
+
+
+class Table:
+    """Byte strings by id, side by side."""
+
+    def __init__(self, strings: list[bytes]) -> None:
+        self.pool = np.frombuffer(b"".join(strings), np.uint8)
+        self.sizes = np.array([len(s) for s in strings], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def of(self, ids: np.ndarray) -> np.ndarray:
+        return ragged(self.pool, self.starts[ids], self.sizes[ids])
+
+    def digests(self, ids: np.ndarray, counts: np.ndarray, last: int) -> list[str]:
+        """sha256 of each sequence's strings without the last so many bytes; many short sequences, or a part of a long one, at a time."""
+        out, stops = [], np.cumsum(counts)
+        start = 0
+        while start < len(counts):
+            before = int(stops[start - 1]) if start else 0
+            stop = max(start + 1, int(np.searchsorted(stops, before + DIGEST_IDS, side="right")))
+            if stop == start + 1:
+                digest, held = hashlib.sha256(), b""
+                for a in range(before, int(stops[start]), DIGEST_IDS):
+                    digest.update(held)
+                    held = self.of(ids[a : min(a + DIGEST_IDS, int(stops[start]))]).tobytes()
+                digest.update(held[: max(0, len(held) - last)])
+                out.append(digest.hexdigest())
+            else:
+                some = ids[before : int(stops[stop - 1])]
+                raw = memoryview(self.of(some).tobytes())
+                ends = np.concatenate([[0], np.cumsum(self.sizes[some])])[stops[start:stop] - before].tolist()
+                a = 0
+                for b in ends:
+                    out.append(hashlib.sha256(raw[a : max(a, b - last)]).hexdigest())
+                    a = b
+            start = stop
         return out
 
-    def joined(self, ids: list[int]) -> bytes:
-        """Ids as decimals, joined by a space."""
-        return " ".join(map(self.decimals.__getitem__, ids)).encode()
-
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, ids))
-
 
 @lru_cache(maxsize=2)
 def codec(rank_path: str, pattern: str) -> Codec:
@@ -143,16 +205,12 @@ def encode_documents(docs: DataFrame, rank_path: str, pattern: str, keep: Sequen
         tool = codec(rank_path, pattern)
 
         def run(texts: list[str | None]) -> list[list]:
-            texts = [t or "" for t in texts]
-            out: list[list] = [[], [], [], []]
-            for a, b in batches(texts):
-                for ids in tool.encode(texts[a:b]):
-                    out[0].append(len(ids))
-                    out[1].append(hashlib.sha256(tool.joined(ids)).hexdigest())
-                    out[2].append(hashlib.sha256(tool.decode(ids)).hexdigest())
-                    out[3].append(np.array(ids, np.int32) if with_ids else None)
-            return out[: 3 + with_ids]
+            ids, counts = tool.encode([t or "" for t in texts])
+            ids = ids.astype(np.int64)
+            out = [counts, tool.decimals.digests(ids, counts, 1), tool.pieces.digests(ids, counts, 0)]
+            return [*out, np.split(ids.astype(np.int32), np.cumsum(counts)[:-1])] if with_ids and len(counts) else [*out, *[[]] * with_ids]
 
+        run.clear = tool.clear
         return run
 
     return map_texts(docs, keep, SCHEMA + ", ids array<int>" * with_ids, make)
@@ -160,4 +218,4 @@ def encode_documents(docs: DataFrame, rank_path: str, pattern: str, keep: Sequen
 
 def decode_ids(rank_path: str, pattern: str) -> Callable[[list[int]], bytes]:
     """Bytes of a list of ids."""
-    return lambda ids: codec(rank_path, pattern).decode(ids)
+    return lambda ids: codec(rank_path, pattern).decode(np.array(ids, np.int64))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -59,6 +60,65 @@ def slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordB
         start = end
 
 
+def ragged(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The slices of a pool, one behind the other."""
+    ends = np.cumsum(sizes)
+    return pool[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+class Words:
+    """Ids of words: a number for each word, and all their ids in one array."""
+
+    def __init__(self) -> None:
+        self.number: dict = {}
+        self.starts, self.sizes, self.pool = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64), np.empty(1 << 16, np.uint32)
+        self.used = self.key_bytes = 0
+
+    def held(self) -> int:
+        """About how many bytes all this takes."""
+        return 180 * len(self.number) + 2 * self.key_bytes + 8 * self.used
+
+    @staticmethod
+    def _with(array: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
+        if at + len(values) > len(array):
+            array = np.concatenate([array, np.empty(max(len(array), len(values)), array.dtype)])
+        array[at : at + len(values)] = values
+        return array
+
+    def add(self, words: list, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """New words (none twice) with their ids, one word's behind the other's."""
+        n = len(self.number)
+        self.starts = self._with(self.starts, n, self.used + np.cumsum(sizes) - sizes)
+        self.sizes = self._with(self.sizes, n, sizes)
+        self.pool = self._with(self.pool, self.used, ids)
+        self.used += len(ids)
+        self.key_bytes += sum(map(len, words))
+        self.number.update(zip(words, range(n, n + len(words)), strict=True))
+
+    def join(self, words: list, parts: list[list]) -> None:
+        """New words, each put together from words that are known."""
+        flat = [self.number[p] for some in parts for p in some]
+        ids, sizes = self.ids(np.array(flat, np.int64))
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        ends = np.cumsum([len(some) for some in parts])
+        self.add(words, ids, np.diff(before[ends], prepend=0) if len(ends) else ends)
+
+    def ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their count for a sequence of words."""
+        sizes = self.sizes[numbers]
+        return ragged(self.pool, self.starts[numbers], sizes), sizes
+
+
+def settle(*caches: Callable[[], object]) -> None:
+    """At the end of a task: workers live on, and what one operator remembers is no use to the next."""
+    for clear in caches:
+        clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_texts(
     docs: DataFrame,
     keep: Sequence[str],
@@ -71,7 +131,7 @@ def map_texts(
     """The kept columns, untouched, and what a function makes of whole texts, some rows at a time.
 
     `make()` runs once a task; what it returns takes rows' texts (and the columns of `also`), as lists, and gives a list of values
-    for each column of the `added` schema. Rows come in slices of about `slice_bytes` of text (a longer text is a slice of its own), so
+    for each column of the `added` schema; if it has an attribute `clear`, that is called when the task ends. Rows come in slices of about `slice_bytes` of text (a longer text is a slice of its own), so
     that memory follows neither the batch nor the partition. A kept column named like an added one is left out.
     """
     new = StructType.fromDDL(added)
@@ -87,6 +147,6 @@ def map_texts(
             made = work(batch.column(text).to_pylist(), *(batch.column(f"__{c}").to_pylist() for c in also))
             arrays = [pa.array(values, kind) for values, kind in zip(made, types, strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *arrays], names=schema.names)
-        pa.default_memory_pool().release_unused()  # workers live on
+        settle(*[work.clear] * hasattr(work, "clear"))
 
     return rows.mapInArrow(run, schema)

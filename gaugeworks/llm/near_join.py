@@ -103,6 +103,7 @@ def signatures(docs: DataFrame, size: int, trees: int, depth: int) -> DataFrame:
                     column.append(value)
             return out
 
+        run.clear = _hashes.clear
         return run
 
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("fp"), "text")
@@ -115,6 +116,7 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
             sets = [shingles(t, size) for t in texts]
             return [[class_of(s) for s in sets], [s.tobytes() for s in sets]]
 
+        run.clear = _hashes.clear
         return run
 
     return map_texts(docs, [], "cls binary, shingles binary", make)

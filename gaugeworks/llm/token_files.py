@@ -24,12 +24,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import byte_characters, slices
+from gaugeworks.llm.common import Words, byte_characters, settle, slices
 
 BLOCK = 512
 CHUNK_IDS = 1 << 19
-#: Words that a worker remembers at most.
-REMEMBERED = 1_000_000
+#: Bytes of words that a worker remembers at most.
+REMEMBERED = 250 << 20
 
 #: Selector: ids in a word, bits of an id. Fixed values of the format; 0 is the escape, 1 the run.
 ESCAPE, RUN = 0, 1
@@ -156,42 +156,6 @@ def unpack(words: np.ndarray, block_words: np.ndarray, escapes: np.ndarray, n: i
     return out
 
 
-def ragged(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The slices of a pool, one behind the other."""
-    ends = np.cumsum(sizes)
-    return pool[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
-
-
-class Words:
-    """Ids of words: a number for each word, and all their ids in one array."""
-
-    def __init__(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.starts, self.sizes, self.pool = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64), np.empty(1 << 18, np.uint32)
-        self.used = 0
-
-    @staticmethod
-    def _with(array: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
-        if at + len(values) > len(array):
-            array = np.concatenate([array, np.empty(max(len(array), len(values)), array.dtype)])
-        array[at : at + len(values)] = values
-        return array
-
-    def add(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
-        """New words (none twice) with their ids, one word's behind the other's."""
-        n = len(self.number)
-        self.starts = self._with(self.starts, n, self.used + np.cumsum(sizes) - sizes)
-        self.sizes = self._with(self.sizes, n, sizes)
-        self.pool = self._with(self.pool, self.used, ids)
-        self.used += len(ids)
-        self.number.update(zip(words, range(n, n + len(words)), strict=True))
-
-    def ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and their count for a sequence of words."""
-        sizes = self.sizes[numbers]
-        return ragged(self.pool, self.starts[numbers], sizes), sizes
-
-
 def parts_at_white_space(path: str) -> bool:
     """Whether the file's normaliser and pre-tokenizer are those for which pieces between white space encode alone."""
     import json
@@ -277,15 +241,14 @@ def word_encoder(path: str, specials_as_text: bool) -> Encode:
         for i in range(0, len(other), 4096):
             words.add(other[i : i + 4096], *one_by_one(other[i : i + 4096]))
         if tails:
-            ids, sizes = words.ids(np.array([words.number[x] for p, h in tails for x in (h, p[len(h) :])]))
-            words.add([p for p, _ in tails], ids, sizes.reshape(-1, 2).sum(axis=1))
+            words.join([p for p, _ in tails], [[h, p[len(h) :]] for p, h in tails])
 
     def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         texts = texts.take(pa.array(np.arange(len(texts)))).cast(pa.large_string())  # a copy: ascii_lower misreads slices
         pieces = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))  # special tokens keep their case
         coded = pieces.flatten().dictionary_encode()
         distinct = coded.dictionary.cast(pa.large_binary()).to_pylist()
-        if len(held["words"].number) > REMEMBERED:
+        if held["words"].held() > REMEMBERED:
             held["words"] = Words()
         words = held["words"]
         found = list(map(words.number.get, distinct))
@@ -359,7 +322,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, specia
                 start = stop
         if held:
             yield chunk()
-        pa.default_memory_pool().release_unused()  # workers live on
+        settle()
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")

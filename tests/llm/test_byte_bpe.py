@@ -41,3 +41,15 @@ def test_query_over_the_table(spark, sf_small):
 
 def test_no_documents(spark):
     assert byte_bpe.encode_documents(odd_documents(spark).limit(0), PATH, P.PATTERN).count() == 0
+
+
+def test_long_documents_and_a_small_memory(spark, monkeypatch):
+    """Ids beyond what is hashed at once, and words forgotten between slices."""
+    monkeypatch.setattr(byte_bpe, "DIGEST_IDS", 64)
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 100)
+    tool = byte_bpe.Codec(PATH, P.PATTERN)
+    texts = ["short one", "", "a long text, with 12 numbers and more " * 40, "  odd  spaces\n", "x", "words again " * 30]
+    for _ in range(2):
+        ids, counts = tool.encode(texts)
+        got = list(zip(range(6), counts.tolist(), tool.decimals.digests(ids, counts, 1), tool.pieces.digests(ids, counts, 0), strict=True))
+        assert got == list(expected(enumerate(texts)))
