@@ -147,6 +147,6 @@ def map_texts(
             made = work(batch.column(text).to_pylist(), *(batch.column(f"__{c}").to_pylist() for c in also))
             arrays = [pa.array(values, kind) for values, kind in zip(made, types, strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *arrays], names=schema.names)
-        settle(*[work.clear] * hasattr(work, "clear"))
+        settle(*([work.clear] if hasattr(work, "clear") else []))
 
     return rows.mapInArrow(run, schema)
