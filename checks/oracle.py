@@ -218,7 +218,7 @@ SHAPES = {
         FROM requests r JOIN sessions s ON s.source_instance = r.source_instance
           AND s.snapshot_time_utc = r.snapshot_time_utc AND s.session_id = r.session_id
         LEFT JOIN nation ON n_nationkey = r.database_id WHERE r.blocking_session_id <> 0""",
-    "parsed_events": """SELECT 'srv-' || (user_id % 4) AS source_instance,
+    "parsed_events": """SELECT event_id, 'srv-' || (user_id % 4) AS source_instance,
         date_trunc('millisecond', ts) AS event_time_utc,
         CAST(round(value * 1000) AS BIGINT) AS cpu_time, CAST(round(value * 2500) AS BIGINT) AS duration,
         event_id % 5000 AS logical_reads,
@@ -559,7 +559,7 @@ STATEMENTS = {
     "safe_ratio": f"""SELECT *, {ratio('scans', 'busy_days')} AS ratio FROM (
         SELECT table_name, CAST(sum(scans_cum) AS BIGINT) AS scans,
           count(*) FILTER (seeks_cum > 200) AS busy_days FROM usage GROUP BY 1) z""",
-    "xml_extract": "SELECT *, true AS is_valid FROM parsed_events",
+    "xml_extract": "SELECT * EXCLUDE (event_id), true AS is_valid FROM parsed_events",
     "statement_slice": "SELECT query_sql_text, count(*) AS queries FROM query_costs GROUP BY 1",
     "event_files": """SELECT login_name, count(*) AS events, CAST(sum(duration) AS BIGINT) AS duration
         FROM parsed_events GROUP BY 1""",
@@ -576,6 +576,27 @@ STATEMENTS = {
         WINDOW w AS (PARTITION BY source_instance, wait_type ORDER BY snapshot_time_utc, event_id)
         QUALIFY row_number() OVER w > 1""",
 }
+STATEMENTS["streaming_blocking"] = STATEMENTS["ingest_blocking"]
+STATEMENTS["streaming_io_latency"] = STATEMENTS["ingest_io_latency"]
+STATEMENTS["streaming_workload_late"] = workload_sum(
+    """(SELECT * FROM parsed_events
+        WHERE NOT (event_time_utc < TIMESTAMP '2024-01-04 00:00:00' AND event_id % 5 = 0)) kept""",
+    "time_bucket(INTERVAL 30 MINUTE, event_time_utc)",
+    f"source_instance, time_bucket(INTERVAL 30 MINUTE, event_time_utc), {WHO}",
+)
+STATEMENTS["run_task_workload"] = workload_sum(
+    """(WITH first_run AS (
+          SELECT event_id FROM parsed_events WHERE event_time_utc <= TIMESTAMP '2024-01-20'
+            AND NOT (event_time_utc > TIMESTAMP '2024-01-19 12:00:00' AND event_id % 3 = 0)),
+        marks AS (
+          SELECT source_instance, max(event_time_utc) AS mark, min(event_time_utc) AS first
+          FROM parsed_events JOIN first_run USING (event_id) GROUP BY 1),
+        kept AS (SELECT *, event_id IN (SELECT event_id FROM first_run) AS early FROM parsed_events)
+        SELECT kept.*, CASE WHEN early THEN first ELSE coalesce(mark, min(event_time_utc) OVER (PARTITION BY source_instance)) END AS start
+        FROM kept LEFT JOIN marks USING (source_instance)) runs""",
+    "start",
+    f"source_instance, start, {WHO}",
+)
 STATEMENTS["exclude_anti_join"] = STATEMENTS["ingest_waits"]
 STATEMENTS["seed_rules"] = f"""SELECT rules.*, used.exec_count FROM {RULES}
     LEFT JOIN (SELECT {deciding_rule('program_name')} AS rule, CAST(sum(exec_count) AS BIGINT) AS exec_count
@@ -623,6 +644,8 @@ COLUMNS = {
     "top_logins": "total_cpu_ms",
     "ingest_workload": "total_cpu_ms total_duration_ms",
     "streaming_workload": "total_cpu_ms total_duration_ms",
+    "streaming_workload_late": "total_cpu_ms total_duration_ms",
+    "run_task_workload": "total_cpu_ms total_duration_ms",
     "ingest_storage": "snapshot_date",
     "ingest_index_ops": "snapshot_date impact_score",
     "ingest_table_access": "snapshot_date",

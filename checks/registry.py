@@ -13,12 +13,12 @@ from gaugeworks import settings
 from gaugeworks.functions import scalar
 from gaugeworks.functions.xml import parse_events
 from gaugeworks.plans import ingest, live, reports
-from gaugeworks.plans.jobs import seed_rules
+from gaugeworks.plans.jobs import Store, run_task, seed_rules
 from gaugeworks.schemas import RUNS, TABLES
 from gaugeworks.session import scratch_path
 from gaugeworks.sources import FactTable, in_databases, read_events, stamp
 from gaugeworks.sources.ledger import after_mark, last_states, recent_runs, run_marks
-from gaugeworks.streaming import event_stream, stream_counter_deltas, stream_workload
+from gaugeworks.streaming import event_stream, stream_counter_deltas, stream_tables, stream_workload
 
 Query = Callable[[Shapes], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -291,6 +291,17 @@ def incremental_watermark(s):
     )
 
 
+@query
+def run_task_workload(s):
+    """Two runs over the event log: a third of the half day before the first one lands after it, behind its mark."""
+    store = Store(s.spark, scratch_path(s.spark, "store"))
+    landed = "ts <= TIMESTAMP'2024-01-20' AND NOT (ts > TIMESTAMP'2024-01-19 12:00:00' AND event_id % 3 = 0)"
+    first = event_xml(s._spread_events().where(landed))
+    run_task(store, "workload", {"event_log": first}, dt.datetime(2024, 1, 20), overlap=dt.timedelta(days=2))
+    run_task(store, "workload", {"event_log": s.event_log}, EVENTS_AS_OF, overlap=dt.timedelta(days=2))
+    return store.table("fact_workload").read()
+
+
 @query
 def stamp_(s):
     raw = s.wait_stats.drop("source_instance", "snapshot_time_utc")
@@ -533,6 +544,67 @@ def streaming_counter_deltas(s):
     return s.spark.read.parquet(f"{out}/deltas").drop("batch")
 
 
+WEEKS = 4
+
+
+def _week(time: str) -> str:
+    return f"least({WEEKS - 1}, greatest(0, datediff({time}, DATE'2024-01-01') div 8))"
+
+
+def _landed(s, rows: DataFrame, part: str, behind: int = 0) -> DataFrame:
+    """Rows in a landing folder by ascending part, read as a stream of one part per micro-batch; `behind` micro-batches late."""
+    folder = scratch_path(s.spark, "landed")
+    staged = scratch_path(s.spark, "parts")
+    rows.withColumn("_part", F.expr(part).cast("int")).write.partitionBy("_part").parquet(staged)
+    parts = s.spark.read.schema(f"{_ddl(rows)}, _part int").parquet(staged)
+    last = parts.agg(F.max("_part")).first()[0] or 0
+    for n in range(-behind, last + 1):  # a few parts, two files each
+        parts.where(F.col("_part") == n).drop("_part").repartition(2).write.parquet(f"{folder}/part={n + behind}")
+    return event_stream(s.spark, f"{folder}/*", _ddl(rows), files_per_batch=2)
+
+
+def _ddl(rows: DataFrame) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+
+
+@query
+def streaming_blocking(s):
+    """Requests and sessions on streams of their own, by weeks; a poll's sessions land one micro-batch after its requests."""
+    table = FactTable(s.spark, TABLES["fact_blocking_snapshot"], scratch_path(s.spark, "fact-blocking"))
+    week = _week("snapshot_time_utc")
+    raw = {"requests": _landed(s, s.requests, week), "sessions": _landed(s, s.sessions, week, behind=1), "databases": s.databases}
+    stream_tables(raw, ingest.ingest_blocking, table, scratch_path(s.spark, "stream"), late="10 days").awaitTermination()
+    return table.read()
+
+
+@query
+def streaming_io_latency(s):
+    """File figures and the names of each poll's files and databases, three streams; the names of files land a micro-batch later."""
+    table = FactTable(s.spark, TABLES["fact_io_latency"], scratch_path(s.spark, "fact-io"))
+    week = _week("snapshot_time_utc")
+    polls = s.file_stats.select("source_instance", "snapshot_time_utc", "database_id", "file_id")
+    files = polls.distinct().join(s.master_files, ["source_instance", "database_id", "file_id"])
+    names = polls.drop("file_id").distinct().join(s.databases.drop("state_desc"), ["source_instance", "database_id"])
+    raw = {
+        "file_stats": _landed(s, s.file_stats, week),
+        "master_files": _landed(s, files, week, behind=1),
+        "databases": _landed(s, names, week),
+    }
+    stream_tables(raw, ingest.ingest_io_latency, table, scratch_path(s.spark, "stream"), late="10 days").awaitTermination()
+    return table.read()
+
+
+@query
+def streaming_workload_late(s):
+    """Events by weeks; a fifth of the first days' events lands last, behind the watermark, and is dropped."""
+    table = FactTable(s.spark, TABLES["fact_workload"], scratch_path(s.spark, "fact-workload"))
+    events = s.load("events")
+    late = "ts < TIMESTAMP'2024-01-04' AND event_id % 5 = 0"
+    stream = _landed(s, events, f"IF({late}, {WEEKS}, {_week('ts')})")
+    stream_workload(event_xml(stream), table, scratch_path(s.spark, "stream"), late="2 days").awaitTermination()
+    return table.read()
+
+
 def _event_stream(s) -> DataFrame:
     path = f"{s.dir}/events.parquet"
     rows = s.spark.read.parquet(path)

@@ -49,11 +49,16 @@ def names_at(
     A name table with a poll time shrinks to its changes first: one row per span in which nothing changed, so repeated
     polls never multiply rows, and a row meets as many candidates as its key had renames. Rows before the first
     poll take the first names, rows after the last one the last. A table without a poll time holds current rows.
+
+    On two streams a row meets the names of its own poll, which either side may bring later, within its watermark; a row whose poll never
+    brings them goes out, with `how` left, once the watermark has passed it.
     """
     picked = [F.col(old).alias(f"_new_{new}") for new, old in columns.items()]
     renamed = {f"_new_{new}": new for new in columns}
     if time not in names.columns or time not in df.columns:
         return df.join(names.select(*keys, *picked), list(keys), how).withColumnsRenamed(renamed)
+    if df.isStreaming and names.isStreaming:
+        return df.join(names.select(*keys, time, *picked), [*keys, time], how).withColumnsRenamed(renamed)
     at = F.coalesce(F.col(time).cast("timestamp"), F.lit("0001-01-01").cast("timestamp"))  # undated names are the oldest
     polls = names.select(*[F.col(k).alias(f"_k_{k}") for k in keys], at.alias("_from"), *picked)
     values = F.struct(*renamed)

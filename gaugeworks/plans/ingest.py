@@ -190,7 +190,7 @@ def workload_events(event_log: DataFrame, marks: DataFrame | None = None) -> Dat
     if marks is not None:
         # Most of a log is older than the mark: drop that part by the opening tag, before the XML parser.
         log = later(log, head_time(F.col("event_data")), keep_unknown=True)
-    return parse_events(log)
+    return later(parse_events(log), F.col("event_time_utc"), keep_unknown=True)
 
 
 def workload_rows(parsed: DataFrame, min_duration_ms: int | None = None) -> DataFrame:
@@ -198,11 +198,7 @@ def workload_rows(parsed: DataFrame, min_duration_ms: int | None = None) -> Data
     events, _ = split_valid(parsed)
     if min_duration_ms is not None:
         events = events.where(F.col("duration") > min_duration_ms * 1000)
-    sums = (
-        later(events, F.col("event_time_utc"))
-        .groupBy("source_instance", "mark_utc", *WHO)
-        .agg(F.min("event_time_utc").alias("_first"), *_workload_sums())
-    )
+    sums = events.groupBy("source_instance", "mark_utc", *WHO).agg(F.min("event_time_utc").alias("_first"), *_workload_sums())
     # The earliest event per instance comes from the same sums. Both branches use all of their columns (the
     # minimum here is of whole rows, `least` below changes nothing), so that they share one shuffle and
     # events are parsed once.
@@ -493,5 +489,7 @@ TASKS: Mapping[str, tuple] = {
 }
 # Tasks that continue after a mark: the pass that takes events in, and the one that makes facts of them.
 INCREMENTAL = {"workload": (workload_events, workload_rows), "deadlocks": (deadlock_reports, deadlock_rows)}
+# What tells their events apart, and whether equal ones of one log are several events (else one that several polls hold).
+IDENTITY = {"workload": ("event_data", True), "deadlocks": ("deadlock_graph_xml", False)}
 # Tasks whose tables keep one row per day: their builders can carry the poll time, which orders polls of one day.
 DAILY = {"storage", "index_ops", "table_access", "health"}

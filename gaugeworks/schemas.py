@@ -154,4 +154,13 @@ RUNS = _spec(
     90,
 )
 
+# Events that incremental runs took in, so that what is read again behind a mark counts once. Expires with the overlap, see `Store.purge`.
+TAKEN = _spec(
+    "taken_event",
+    "source_instance string, task string, run_id long, event_time_utc timestamp, event_id string, n long",
+    "source_instance task run_id event_id event_time_utc",
+    "event_time_utc",
+    2,
+)
+
 RULE_COLUMNS = "class_id int, priority int, program_like string, workload_category string, notes string"

@@ -65,3 +65,6 @@ FIRST_USER_SESSION = 51
 LAST_SYSTEM_DATABASE_ID = 4
 SCHEDULER_ID_LIMIT = 255
 EVENT_MIN_DURATION_MS = 1000
+
+# How far behind its mark an incremental run reads again, in seconds: events reach the log up to half a minute after their time.
+EVENT_OVERLAP_SECONDS = 300

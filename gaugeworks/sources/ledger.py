@@ -19,13 +19,16 @@ class RunLedger:
 
     def append(self, rows: DataFrame) -> None:
         """Add run states; each row belongs to the run named by (source_instance, task, started_at_utc)."""
-        run_id = F.xxhash64("source_instance", "task", F.unix_micros("started_at_utc"))
-        self.table.append(rows.withColumn("run_id", run_id))
+        self.table.append(rows.withColumn("run_id", run_id()))
 
     def runs(self) -> DataFrame:
         return last_states(self.table.read())
 
 
+def run_id() -> Column:
+    return F.xxhash64("source_instance", "task", F.unix_micros("started_at_utc"))
+
+
 def last_states(states: DataFrame) -> DataFrame:
     """One row per run, in its last state."""
     step = F.array_position(F.array(*[F.lit(s) for s in STATES]), F.col("status"))
@@ -64,3 +67,24 @@ def later(marked: DataFrame, time: Column, keep_unknown: bool = False) -> DataFr
 def after_mark(events: DataFrame, marks: DataFrame | None, time: str) -> DataFrame:
     """Events strictly later than their instance's mark, with the mark attached."""
     return later(with_mark(events, marks), F.col(time))
+
+
+def untaken(events: DataFrame, taken: DataFrame, identity: str, counted: bool) -> DataFrame:
+    """Events of an overlapping read that no run has taken in yet: all behind their mark, and of those not later than it the ones that
+    `taken` (source_instance, event_id, n) lacks.
+
+    Equal events are `counted`: of five in the log and three taken in, two are new; or else they are one. Only the
+    overlap is grouped, and equal events are combined before the shuffle. Events without a time are passed on.
+    """
+    ahead = F.col("mark_utc").isNull() | F.col("event_time_utc").isNull() | (F.col("event_time_utc") > F.col("mark_utc"))
+    again = events.where(~ahead).withColumn("_id", event_id(identity))
+    seen = again.groupBy("source_instance", "_id").agg(F.count(F.lit(1)).alias("_seen"), F.any_value(F.struct(*events.columns)).alias("_event"))
+    known = taken.select(F.col("source_instance").alias("_instance"), F.col("event_id").alias("_known"), F.col("n").alias("_n"))
+    same = F.col("source_instance").eqNullSafe(F.col("_instance")) & (F.col("_id") == F.col("_known"))
+    left = F.col("_seen") - F.coalesce("_n", F.lit(0)) if counted else F.when(F.col("_n").isNull(), F.lit(1)).otherwise(0)
+    fresh = seen.join(known, same, "left").withColumn("_left", left.cast("int")).where("_left > 0")
+    return events.where(ahead).unionByName(fresh.select("_event.*", F.explode(F.sequence(F.lit(1), "_left")).alias("_copy")).drop("_copy"))
+
+
+def event_id(identity: str) -> Column:
+    return F.sha2(F.coalesce(F.col(identity), F.lit("")), 256)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -85,3 +85,32 @@ def stream_facts(
     """Any ingest plan per micro-batch of raw snapshots, for example `ingest_waits`. A snapshot has to land
     in one file or folder drop, so that a micro-batch holds it whole."""
     return _start(raw, lambda batch, _: _upsert(table, build(batch)), checkpoint, every, "append")
+
+
+def stream_tables(
+    raw: Mapping[str, DataFrame],
+    build: Callable[..., DataFrame],
+    table: FactTable,
+    checkpoint: str,
+    late: str = "10 minutes",
+    every: str | None = None,
+    **options,
+) -> StreamingQuery:
+    """An ingest plan over several raw tables that arrive on their own, for example `ingest_blocking`.
+
+    Each stream among `raw` carries a poll time and is joined to the others on (instance, poll, ids), so a micro-batch may hold one table
+    of a poll and a later one the rest: rows wait in state until their partners land. State is bounded by `late`: a row whose partner lands
+    later than that behind the slowest table is dropped from it, and a row without a partner goes out of an outer join then. Frames
+    that are no streams are name tables of current rows. Sums over a poll go out once the watermark has passed it.
+    """
+    timed = {n: f.withWatermark("snapshot_time_utc", late) if f.isStreaming else f for n, f in raw.items()}
+    return _start(build(**timed, **options), lambda batch, _: _upsert(table, batch), checkpoint, every, "append")
+
+
+def stream_unreadable(event_log: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Events of a log that `stream_workload` leaves out, as their time or numbers cannot be read: instance, time and text, below `path`.
+
+    A retried micro-batch overwrites its own folder, so each landed event is kept once.
+    """
+    bad = parse_events(event_log).where("NOT is_valid").select("source_instance", "event_time_utc", "event_data")
+    return _start(bad, lambda batch, n: batch.write.mode("overwrite").parquet(f"{path}/batch={n}"), checkpoint, every, "append")
