@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_, or_
@@ -88,6 +89,21 @@ def like_regex(pattern: Column) -> Column:
     return F.concat(F.lit("(?s)^"), F.array_join(one, ""), F.lit("$"))
 
 
+def _matches(text: str, pattern: str) -> Column:
+    """LIKE with a pattern that is known while planning: plain LIKE where it says the same, else one literal regular expression."""
+    if not re.search(r"[\[\\]", pattern):
+        return F.col(text).like(pattern)
+    out = []
+    for piece in re.findall(r"\[[^\]]+\]|[\s\S]", pattern):
+        if piece in ("%", "_"):
+            out.append(".*" if piece == "%" else ".")
+        elif len(piece) > 1:
+            out.append(re.sub(r"([\\&]|(?<=.)\[)", r"\\\1", piece))
+        else:
+            out.append(piece if piece.isascii() and piece.isalnum() or piece.isspace() else "\\" + piece)
+    return F.col(text).rlike("(?s)^" + "".join(out) + "$")
+
+
 def first_match(
     df: DataFrame,
     rules: DataFrame | Sequence[tuple],
@@ -119,7 +135,7 @@ def first_match(
         return df.withColumn(output, F.lit(default).cast("string"))
     chain: Column | None = None
     for rule in ordered:
-        hit = F.rlike("_subject", like_regex(F.lit(rule[2] if case_sensitive else rule[2].lower())))
+        hit = _matches("_subject", rule[2] if case_sensitive else rule[2].lower())
         chain = F.when(hit, F.lit(rule[label])) if chain is None else chain.when(hit, F.lit(rule[label]))
     return df.withColumn("_subject", folded).withColumn(output, chain.otherwise(F.lit(default))).drop("_subject")
 

@@ -6,9 +6,10 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-RANK_PIECES = 64
+#: Rows drawn for ranks; how many of them a group must have to be cut; parts of a value that is a piece of its own.
+RANK_PIECES, CUT_FROM, SALTS = 4096, 4, 256
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -49,48 +50,77 @@ def topk_union(
 def rank_within(df: DataFrame, group: Sequence[str], ranks: Mapping[str, str], pieces: int = RANK_PIECES) -> DataFrame:
     """Add rank() by each measure, highest first (`ranks` maps rank column to measure). Gaps follow ties, NULLs come last.
 
-    One plan at every size, and nothing is counted while planning. Distinct values are ranked, not rows, so ties
-    cost one row. Every group is cut into up to `pieces` pieces at values drawn from its own distinct values (those of the
-    least hash, so that a recomputed task draws the same), which many tasks share: the rank of a value is one plus the
-    rows in higher pieces plus the rows above it in its own piece.
+    One plan at every size, and nothing is counted while planning. Up to `pieces` rows of all groups are drawn (those of the least hash, so that
+    a recomputed task draws the same). A group that has few of them is a small share of all rows and one window group. Any other group is
+    cut at its drawn values, so that a window group holds about one part in `pieces` of all rows: the rank of a value is one plus the
+    rows in its group's higher pieces plus the rows above it in its own piece. A value that is drawn twice is a piece of its own,
+    where nothing is above anything, so its rows spread over tasks. Cuts and the pieces' counts are few rows, as many as are drawn.
     """
     out = df
     for name, measure in ranks.items():
-        out = _join_null_safe(out, _value_ranks(df, group, name, measure, pieces), [*group, measure])
+        cuts = F.broadcast(_cuts(df, group, measure, pieces))  # at most `pieces` rows
+        counted = _in_pieces(df.select(*group, measure, _row_hash(df).alias("_hash")), cuts, group, measure).where("_is_cut")
+        higher = Window.partitionBy(*group).orderBy(F.col("_piece").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = (
+            counted.groupBy(*group, "_piece")
+            .agg(F.count(F.lit(1)).alias("_rows"))
+            .select(*group, "_piece", F.sum("_rows").over(higher).alias("_offset"))
+        )
+        own = Window.partitionBy(*group, "_piece", "_salt").orderBy(F.col(measure).desc())
+        placed = _in_pieces(out.withColumn("_hash", _row_hash(df)), cuts, group, measure).withColumn("_own", F.rank().over(own))
+        # two rows a cut and two a group at most
+        joined = _join_null_safe(placed, F.broadcast(offsets), [*group, "_piece"], "left")
+        out = joined.withColumn(name, (F.col("_own") + F.coalesce("_offset", F.lit(0))).cast("int"))
+        out = out.drop("_hash", "_piece", "_salt", "_own", "_offset", "_is_cut")
     return out.select(*df.columns, *ranks)
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi join on keys of which NULLs match each other; the left side's keys stay."""
-    other = right.withColumnsRenamed({c: f"_k_{c}" for c in keys})
-    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys])
-    return left.join(other, same, how).drop(*[f"_k_{c}" for c in keys])
+def _row_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*[f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")])
 
 
-def _value_ranks(df: DataFrame, group: Sequence[str], name: str, measure: str, pieces: int) -> DataFrame:
-    """Rank of every distinct value of every group."""
-    value = F.col(measure)
-    values = df.groupBy(*group, measure).agg(F.count(F.lit(1)).alias("_rows"))
-    drawn = Window.partitionBy(*group).orderBy(F.xxhash64(measure), measure)
-    cuts = (
-        values.where(value.isNotNull())
-        .withColumn("_n", F.row_number().over(drawn))
-        .where(F.col("_n") < pieces)  # also applied before the shuffle
+def _cuts(df: DataFrame, group: Sequence[str], measure: str, pieces: int) -> DataFrame:
+    """Per group with enough drawn rows their sorted values, and the same in blocks for a look-up in two steps."""
+    drawn = (
+        df.where(F.col(measure).isNotNull())
+        .select(*group, F.col(measure).alias("_cut"), _row_hash(df).alias("_drawn"))
+        .orderBy("_drawn", "_cut")
+        .limit(pieces)  # each task keeps as many
         .groupBy(*group)
-        .agg(F.collect_list(measure).alias("_cuts"))
+        .agg(F.sort_array(F.collect_list("_cut")).alias("_sorted"))
+        .withColumn("_n", F.size("_sorted"))
+        .where(F.col("_n") >= CUT_FROM)
+        .withColumn("_step", F.ceil(F.sqrt("_n")).cast("int"))
     )
-    below = F.size(F.filter("_cuts", lambda cut: cut <= value))
-    piece = F.when(value.isNull(), F.lit(-1)).when(F.col("_cuts").isNull(), F.lit(0)).otherwise(below)
-    cut = _join_null_safe(values, cuts, group, "left").select(*group, measure, "_rows", piece.alias("_piece"))
-
-    place = [*group, "_piece"]
-    higher = Window.partitionBy(*group).orderBy(F.col("_piece").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        cut.groupBy(*place)
-        .agg(F.sum("_rows").alias("_rows"))
-        .select(*place, F.coalesce(F.sum("_rows").over(higher), F.lit(0)).alias("_offset"))
+    blocks = F.floor(F.col("_n") / F.col("_step")).cast("int")
+    step = F.col("_step")
+    return drawn.select(
+        *group,
+        F.struct(
+            step.alias("step"),
+            F.col("_sorted").alias("sorted"),
+            F.transform(F.sequence(F.lit(1), blocks), lambda k: F.get("_sorted", k * step - 1)).alias("coarse"),
+            F.transform(F.sequence(F.lit(0), blocks), lambda k: F.slice("_sorted", k * step + 1, step)).alias("fine"),
+        ).alias("_cuts"),
     )
-    above = Window.partitionBy(*place).orderBy(value.desc()).rowsBetween(Window.unboundedPreceding, -1)
-    placed = cut.withColumn("_above", F.coalesce(F.sum("_rows").over(above), F.lit(0)))
-    rank = (F.col("_offset") + F.col("_above") + 1).cast("int").alias(name)
-    return _join_null_safe(placed, offsets, place).select(*group, measure, rank)
+
+
+def _in_pieces(rows: DataFrame, cuts: DataFrame, group: Sequence[str], measure: str) -> DataFrame:
+    """Rows (with _hash) and their _piece, ascending with the measure, _salt within it, and whether their group is cut at all."""
+    value, c = F.col(measure), F.col("_cuts")
+    met = _join_null_safe(rows, cuts, group, "left")
+    coarse = F.size(F.filter(c["coarse"], lambda x: x <= value))
+    reached = coarse * c["step"] + F.size(F.filter(F.get(c["fine"], coarse), lambda x: x <= value))
+    met = met.withColumn("_reached", F.when(c.isNotNull() & value.isNotNull(), reached))
+    twice = F.coalesce(F.get(c["sorted"], F.col("_reached") - 2) == value, F.lit(False))
+    alone = c.isNotNull() & (value.isNull() | twice)
+    piece = F.when(c.isNull(), F.lit(0)).when(value.isNull(), F.lit(-1)).otherwise(2 * F.col("_reached") + F.when(twice, 0).otherwise(1))
+    salt = F.when(alone, F.pmod("_hash", F.lit(SALTS))).otherwise(F.lit(0))
+    return met.withColumns({"_piece": piece, "_salt": salt, "_is_cut": c.isNotNull()}).drop("_cuts", "_reached")
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi join on keys of which NULLs match each other; the left side's keys stay."""
+    other = right.withColumnsRenamed({c: f"_k_{c}" for c in keys})
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys])
+    return left.join(other, same, how).drop(*[f"_k_{c}" for c in keys])

@@ -31,7 +31,7 @@ def brute_rank(data, column):
     return out
 
 
-@pytest.mark.parametrize("pieces", [1, 2, 64])
+@pytest.mark.parametrize("pieces", [1, 20, 64, 4096])
 def test_rank_does_not_depend_on_the_pieces(spark, pieces):
     data = sample()
     got = rank_within(spark.createDataFrame(data, COLUMNS), ["g"], {"rv": "v", "rw": "w"}, pieces).collect()
@@ -41,7 +41,7 @@ def test_rank_does_not_depend_on_the_pieces(spark, pieces):
 
 
 def test_rank_of_one_repeated_value(spark):
-    data = [("g", i, Decimal("7.00"), 0.0) for i in range(20)]
+    data = [("g", i, Decimal("7.00"), 0.0) for i in range(700)]
     got = rank_within(spark.createDataFrame(data, COLUMNS), ["g"], {"r": "v"})
     assert {r.r for r in got.collect()} == {1}
 
@@ -78,3 +78,28 @@ def test_topk_union_lists_a_row_once(spark):
     df = spark.createDataFrame(data, "g string, id int, x int, y int")
     got = topk_union(df, ["g"], ["id"], ["x", "y"], 2)
     assert rows(got.select("g", "id")) == {("s", 9), ("s", 8), ("s", 0), ("s", 1), ("t", 1)}
+
+
+def test_hot_groups_and_hot_values_spread(spark):
+    """Half of the rows are one group, half of those one value: no window group holds more than a few of the rows."""
+    from pyspark.sql import functions as F
+
+    from gaugeworks.operators import ranking
+
+    data = [("hot" if i % 2 else f"g{i % 200}", i, Decimal(5 if i % 4 == 1 else i % 3000), None if i % 11 == 0 else 1.0) for i in range(20_000)]
+    df = spark.createDataFrame(data, COLUMNS)
+    cuts = ranking._cuts(df, ["g"], "v", 256)
+    assert cuts.count() <= 64
+    parts = ranking._in_pieces(df.withColumn("_hash", ranking._row_hash(df)), cuts, ["g"], "v").groupBy("g", "_piece", "_salt").count()
+    assert parts.agg(F.max("count")).first()[0] < 1000
+    got = {r.id: (r.a, r.b) for r in rank_within(df, ["g"], {"a": "v", "b": "w"}, 256).collect()}
+    for column, at in ((2, 0), (3, 1)):
+        by_group = {}
+        for r in data:
+            by_group.setdefault(r[0], []).append(r)
+        for part in by_group.values():
+            known = sorted((r[column] for r in part if r[column] is not None), reverse=True)
+            first = {}
+            for n, v in enumerate(known, 1):
+                first.setdefault(v, n)
+            assert all(got[r[1]][at] == (len(known) + 1 if r[column] is None else first[r[column]]) for r in part)
