@@ -584,6 +584,10 @@ STATEMENTS["streaming_workload_late"] = workload_sum(
     "time_bucket(INTERVAL 30 MINUTE, event_time_utc)",
     f"source_instance, time_bucket(INTERVAL 30 MINUTE, event_time_utc), {WHO}",
 )
+STATEMENTS["rollup_after_upserts"] = STATEMENTS["top_logins"].replace(
+    "CAST(sum(total_cpu_ms) AS DECIMAL(28,2))",
+    "CAST(sum(CASE WHEN year(window_start_utc) = 1995 THEN 2 * total_cpu_ms ELSE total_cpu_ms END) AS DECIMAL(28,2))",
+).replace("FROM workload GROUP", "FROM workload WHERE window_start_utc >= TIMESTAMP '1993-01-01' GROUP")
 STATEMENTS["run_task_workload"] = workload_sum(
     """(WITH first_run AS (
           SELECT event_id FROM parsed_events WHERE event_time_utc <= TIMESTAMP '2024-01-20'
@@ -646,6 +650,7 @@ COLUMNS = {
     "streaming_workload": "total_cpu_ms total_duration_ms",
     "streaming_workload_late": "total_cpu_ms total_duration_ms",
     "run_task_workload": "total_cpu_ms total_duration_ms",
+    "rollup_after_upserts": "total_cpu_ms",
     "ingest_storage": "snapshot_date",
     "ingest_index_ops": "snapshot_date impact_score",
     "ingest_table_access": "snapshot_date",

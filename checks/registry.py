@@ -14,6 +14,7 @@ from gaugeworks.functions import scalar
 from gaugeworks.functions.xml import parse_events
 from gaugeworks.plans import ingest, live, reports
 from gaugeworks.plans.jobs import Store, run_task, seed_rules
+from gaugeworks.plans.rollups import Rollups
 from gaugeworks.schemas import RUNS, TABLES
 from gaugeworks.session import scratch_path
 from gaugeworks.sources import FactTable, in_databases, read_events, stamp
@@ -302,6 +303,20 @@ def run_task_workload(s):
     return store.table("fact_workload").read()
 
 
+@query
+def rollup_after_upserts(s):
+    """Logins from daily sums that followed an upsert of all windows, a corrected year, the same batch again, and a purge."""
+    store = Store(s.spark, scratch_path(s.spark, "store"))
+    rollups, table = Rollups(store), store.table("fact_workload")
+    table.upsert(s.workload)
+    corrected = s.workload.where("year(window_start_utc) = 1995").withColumn("total_cpu_ms", F.col("total_cpu_ms") * 2)
+    for _ in range(2):
+        table.upsert(corrected)
+    table.purge(dt.datetime(1993, 1, 1), days=0)
+    table.discard_staged()
+    return rollups.report("top_logins")
+
+
 @query
 def stamp_(s):
     raw = s.wait_stats.drop("source_instance", "snapshot_time_utc")

@@ -134,7 +134,7 @@ class FactTable:
         time_is_date = self.spec.types[self.spec.time] == "date"
         boundary = cut.date()
         dropped = []
-        for name, day in self._day_folders():
+        for name, day in self.day_folders():
             if day < boundary:
                 remove(self.spark, f"{self.path}/{name}")
                 dropped.append(name)
@@ -152,11 +152,21 @@ class FactTable:
             self._changed()
         return dropped
 
-    def _day_folders(self) -> list[tuple[str, dt.date]]:
-        dated = [re.fullmatch(rf"{DAY}=(\d{{4}}-\d\d-\d\d)", n) for n in list_names(self.spark, self.path)]
-        return sorted((m.group(), dt.date.fromisoformat(m.group(1))) for m in dated if m)
+    def day_folders(self) -> list[tuple[str, dt.date]]:
+        return day_folders(self.spark, self.path)
+
+    def read_days(self, days: Sequence[dt.date]) -> DataFrame:
+        """The rows of some days, with their day; only these days' folders are read."""
+        rows = self._load().where(F.col(DAY).isin(list(days)))
+        return rows.withColumn(self.spec.time, F.col(DAY)) if self.spec.types[self.spec.time] == "date" else rows
 
     def discard_staged(self) -> None:
         """Remove the staged copies of this object's writes; frames that `upsert` returned end with them."""
         while self._staged:
             remove(self.spark, self._staged.pop())
+
+
+def day_folders(spark: SparkSession, path: str) -> list[tuple[str, dt.date]]:
+    """Names and days of a table's day directories, in order."""
+    dated = [re.fullmatch(rf"{DAY}=(\d{{4}}-\d\d-\d\d)", n) for n in list_names(spark, path)]
+    return sorted((m.group(), dt.date.fromisoformat(m.group(1))) for m in dated if m)
