@@ -106,7 +106,8 @@ class FactTable:
         measured size allows and leaves the old rows where they are.
         """
         extra = [c for c in sequence if c not in self.spec.names]
-        dated = batch.select(*self.spec.names, *extra).withColumn(DAY, F.to_date(self.spec.time))
+        typed = [F.col(c).cast(kind).alias(c) for c, kind in self.spec.types.items()]  # files hold the declared types
+        dated = batch.select(*typed, *extra).withColumn(DAY, F.to_date(self.spec.time))
         everything = self._stage(self._last_of_batch(dated, sequence).drop(*extra))
         staged = everything.where(F.col(DAY).isNotNull())
         undated = everything.where(F.col(DAY).isNull())
