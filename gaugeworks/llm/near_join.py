@@ -32,9 +32,11 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def matched_depth(threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> int:
-    """The longest prefix by which pairs at the threshold still meet with the wanted probability."""
-    while depth > 1 and 1 - (1 - threshold**depth) ** trees < recall:
+    """The longest prefix by which pairs at the threshold still meet with the wanted probability; refused where none does."""
+    while depth and 1 - (1 - threshold**depth) ** trees < recall:
         depth -= 1
+    if not depth:
+        raise ValueError(f"{trees} trees cannot find pairs at {threshold} with probability {recall}: add trees")
     return depth
 
 
@@ -219,19 +221,25 @@ def near_duplicates(
     met = reduce(lambda x, y: x | y, [(F.col("tree") > t) & (F.col(f"min{t}") == F.col(f"max{t}")) for t in range(trees - 1)])
     fresh = members.groupBy("tree", "key").agg(*ends).where(~met).select("tree", "key")
     parts = F.greatest(F.ceil(F.col("m") / BLOCK_CLASSES), F.ceil(F.col("size") / BLOCK_SHINGLES))
-    cells = written(
+    # a class is one row with all its places up to the join with its shingles, and only then a row per cell
+    places = written(
         members.join(fresh, ["tree", "key"])
-        .withColumn("parts", parts)
+        .withColumn("parts", parts.cast("long"))
         .withColumn("block", F.pmod(F.xxhash64("cls"), "parts"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-        .select("tree", "key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "cls"),
-        "cells",
-    )
-    wanted = cells.select("cls").distinct().join(classes, "cls").select("rep", F.col("fp").alias("rep_fp"))
+        .groupBy("cls").agg(F.collect_list(F.struct("tree", "key", "parts", "block")).alias("places")),
+        "places",
+    )
+    wanted = places.select("cls").join(classes, "cls").select("rep", F.col("fp").alias("rep_fp"))
     texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("fp"), "text")
     texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("fp") == F.col("rep_fp")), "left_semi")
     sets = _sets(texts, shingle).dropDuplicates(["cls"])
-    full = cells.join(classes.select("cls", "copies", "n_shingles", "keys"), "cls").join(sets, "cls")
+    whole = places.join(classes.select("cls", "copies", "n_shingles", "keys"), "cls").join(sets, "cls")
+    full = (
+        whole.select("cls", "copies", "n_shingles", "keys", "shingles", F.inline("places"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+        .withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
+        .drop("parts", "other")
+    )
     found = written(
         full.groupBy("tree", "key", "lo", "hi").applyInPandas(_verified(threshold), "cls binary, links long, root binary"), "links"
     )

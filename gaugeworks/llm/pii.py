@@ -13,7 +13,8 @@ whose number does not grow with the corpus.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from bisect import bisect_left
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,16 +27,17 @@ KINDS = ("email", "ip", "card", "phone")
 #: Probability from which a proposed span is added.
 SURE = 0.9
 
-#: Strict patterns. Fixed values of the contract.
+#: Strict patterns. Fixed values of the contract. Those of e-mail and IP addresses take a whole run of their first characters whether or not
+#: the rest follows (group 1): no start inside the run fits where its beginning does not, so long runs are read once.
 STRICT = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
-    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    "email": re.compile(r"[A-Za-z0-9._%+-]++(@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++)?"),
+    "ip": re.compile(r"[0-9]++((?:\.[0-9]++){3})?"),
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
 #: Looser ones, which only propose.
 LOOSE = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]+ ?(?:\(at\)|\[at\]|\{at\}| at ) ?[A-Za-z0-9-]+(?: ?(?:\.|\(dot\)|\[dot\]| dot ) ?[A-Za-z0-9-]+)+"),
+    "email": re.compile(r"[A-Za-z0-9._%+-]++( ?(?:\(at\)|\[at\]|\{at\}| at ) ?[A-Za-z0-9-]++(?: ?(?:\.|\(dot\)|\[dot\]| dot ) ?[A-Za-z0-9-]++)+)?"),
     "ip": re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])"),
     "card": re.compile(r"(?<![0-9])[0-9]{4}(?:[.\x20/-]{1,3}[0-9]{4}){2}[.\x20/-]{1,3}[0-9]{2,4}(?![0-9])"),
     "phone": re.compile(r"(?<![0-9+])(?:\([0-9]{2,4}\) ?|00[0-9]{1,3}[ -]|0[0-9]{2,4}[ /-])[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,3}(?![0-9])"),
@@ -80,7 +82,7 @@ def votes(kind: str, span: str, before: str, strict: bool) -> tuple[int, ...]:
     checksum = shape = gazetteer = 0
     if kind == "email":
         parts = re.split(r"[.\s()\[\]]+", span.lower())
-        gazetteer = 1 if parts[-1] in DOMAINS else -1
+        gazetteer = 1 if parts[-1] in DOMAINS else 0  # a short list: what it lacks may be a domain too
         shape = -1 if len(span) > 80 else 1
     elif kind == "ip":
         gazetteer = -1 if span.startswith(NETWORKS) else 0
@@ -96,6 +98,29 @@ def votes(kind: str, span: str, before: str, strict: bool) -> tuple[int, ...]:
     return (1 if strict else -1), checksum, gazetteer, context, shape
 
 
+class Spans:
+    """Spans that follow each other without overlap."""
+
+    def __init__(self) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def add(self, start: int, end: int) -> None:
+        self.starts.append(start)
+        self.ends.append(end)
+
+    def meet(self, start: int, end: int) -> bool:
+        last = bisect_left(self.starts, end) - 1
+        return last >= 0 and self.ends[last] > start
+
+    def all(self) -> list[tuple[int, int]]:
+        return list(zip(self.starts, self.ends, strict=True))
+
+
+def _matches(pattern: re.Pattern, text: str) -> Iterator[re.Match]:
+    return (m for m in pattern.finditer(text) if not pattern.groups or m.lastindex)
+
+
 def candidates(text: str) -> list[tuple[str, int, int, bool, str]]:
     """Strict spans that pass, and proposed ones: kind, start, end, strict, votes as text.
 
@@ -107,23 +132,18 @@ def candidates(text: str) -> list[tuple[str, int, int, bool, str]]:
     for kind in KINDS:
         if not (mail if kind == "email" else number or (kind == "ip" and colon)):
             continue
-        own: list[tuple[int, int]] = []
-        found = []
+        own, failed, loose = Spans(), Spans(), []
         if kind != "email" or "@" in text:
-            for m in STRICT[kind].finditer(text):
-                good = strict_ok(kind, m[0])
-                if good:
-                    own.append(m.span())
-                if good or kind == "card" and 13 <= sum(c.isdigit() for c in m[0]) <= 19:
-                    found.append((*m.span(), good))
+            for m in _matches(STRICT[kind], text):
+                if strict_ok(kind, m[0]):
+                    own.add(*m.span())
+                elif kind == "card" and 13 <= sum(c.isdigit() for c in m[0]) <= 19:
+                    failed.add(*m.span())
         if kind != "ip" or colon:
-            found += [(*m.span(), False) for m in LOOSE[kind].finditer(text)]
-        taken: list[tuple[int, int]] = list(own)
+            loose = [m.span() for m in _matches(LOOSE[kind], text)]
+        found = [(a, b, True) for a, b in own.all()] + [(a, b, False) for a, b in failed.all()]
+        found += [(a, b, False) for a, b in loose if not own.meet(a, b) and not failed.meet(a, b)]
         for a, b, good in found:
-            if not good and any(a < y and x < b for x, y in taken):
-                continue
-            if not good:
-                taken.append((a, b))
             vote = votes(kind, text[a:b], text[max(0, a - NEAR) : a], good)
             out.append((kind, a, b, good, ",".join(map(str, vote))))
     order = {k: i for i, k in enumerate(KINDS)}

@@ -83,3 +83,12 @@ def test_components_of_a_long_chain(spark):
     found = {r.node: r.root for r in components(spark.createDataFrame(rows, "a string, b string")).collect()}
     assert all(found[f"{i:04}"] == "0000" for i in range(301))
     assert found["b"] == found["a"] == "a" and "z" not in found
+
+
+def test_a_recall_out_of_reach_is_refused():
+    import pytest
+
+    assert near_join.matched_depth(0.8) == 5
+    with pytest.raises(ValueError):
+        near_join.matched_depth(0.2)
+    assert near_join.matched_depth(0.2, trees=60) == 1

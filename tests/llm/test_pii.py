@@ -69,3 +69,17 @@ def test_odd_rows(spark):
     assert pii.find_spans(docs.limit(0)).count() == 0
     assert np.isfinite(pii.fit({("ip", (1, 0, 0, 0, 1)): 1}).weights["ip"]).all()
     assert pii.strict_ok("ip", "0" * 5000 + "1.2.3.4") and not pii.strict_ok("ip", "9" * 5000 + ".2.3.4")
+
+
+def test_long_runs_take_linear_time():
+    import time
+
+    for text in ("a" * 2_000_000 + " @", "1" * 2_000_000 + " @", "+1((" * 500_000, "1 " * 1_000_000, "(030) 12-34 " * 80_000, "a@" * 1_000_000, "x@" + "b" * 2_000_000, "a at " * 400_000):
+        start = time.process_time()
+        pii.candidates(text)
+        assert time.process_time() - start < 5
+
+
+def test_matches_inside_runs_and_behind_each_other():
+    found = [(k, a, b) for k, a, b, good, _ in pii.candidates("a@b.c_d@e.f 1.2.3.4.5.6.7.8 1.2.3") if good]
+    assert found == [("email", 0, 5), ("email", 5, 11), ("ip", 12, 19), ("ip", 20, 27)]
