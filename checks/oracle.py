@@ -145,7 +145,7 @@ SHAPES = {
         CASE WHEN kind = 'unused' THEN CAST(0 AS BIGINT) END AS reads,
         CASE WHEN kind = 'unused' THEN count(*) END AS writes,
         CASE WHEN kind = 'missing' THEN 'EQUALITY: ' || object_name END AS detail
-        FROM lineitem WHERE l_returnflag IN ('N', 'A') GROUP BY 1, 2, 3, 4, 5""",
+        FROM lineitem GROUP BY 1, 2, 3, 4, 5""",
     "index_latest": """SELECT f.*, CASE WHEN kind = 'missing' THEN CAST(rank() OVER (
           PARTITION BY source_instance, database_name, kind ORDER BY impact_score DESC NULLS LAST) AS INTEGER) END
           AS impact_rank
@@ -180,7 +180,7 @@ SHAPES = {
           ELSE 'background' END AS status, {WAIT_TYPE} AS wait_type,
         CAST(round(value * 10) AS BIGINT) AS wait_time_ms, 'KEY: ' || event_id AS wait_resource,
         CASE WHEN event_id % 10 <> 0 THEN CAST(round(value * 100) AS BIGINT) END AS cpu_ms,
-        event_id * 3 AS logical_reads FROM activity WHERE event_type <> 'error'""",
+        event_id * 3 AS logical_reads FROM activity""",
     "waiting": f"""SELECT source_instance, snapshot_time_utc, session_id,
         CASE WHEN session_id % 5 <> 0 THEN session_id - session_id % 17 END AS blocking_session_id,
         {WAIT_TYPE} AS wait_type, CAST(round(value * 10) AS BIGINT) AS wait_duration_ms,
@@ -189,11 +189,11 @@ SHAPES = {
         CASE WHEN event_id % 6 <> 0 THEN event_id * 4 END AS granted_memory_kb,
         CASE WHEN event_id % 6 <> 0 THEN ts END AS grant_time, CAST(event_id % 8 AS INTEGER) AS queue_id,
         CAST(round(value) AS BIGINT) AS wait_time_ms, CAST(event_id % 16 AS INTEGER) AS dop
-        FROM activity WHERE event_type IN ('view', 'purchase')""",
+        FROM activity""",
     "transactions": """SELECT source_instance, snapshot_time_utc, event_id, session_id,
         'tran_' || event_type AS tran_name,
         ts - to_seconds(CAST(floor(value) AS BIGINT)) AS transaction_begin_time
-        FROM activity WHERE event_type IN ('click', 'purchase')""",
+        FROM activity""",
     "concurrency": """SELECT k.source_instance, k.snapshot_time_utc,
         (SELECT count(*) FROM sessions t WHERE t.source_instance = k.source_instance
            AND t.snapshot_time_utc = k.snapshot_time_utc AND is_user)::INTEGER AS user_sessions,
@@ -584,6 +584,14 @@ STATEMENTS["streaming_workload_late"] = workload_sum(
     "time_bucket(INTERVAL 30 MINUTE, event_time_utc)",
     f"source_instance, time_bucket(INTERVAL 30 MINUTE, event_time_utc), {WHO}",
 )
+STATEMENTS["rpt_views"] = STATEMENTS["top_logins"]
+_kept_waits = f"(SELECT DISTINCT source_instance, snapshot_time_utc, wait_type FROM waits WHERE wait_type NOT IN {EXCLUDED})"
+STATEMENTS["run_task_ledger"] = f"""SELECT i.source_instance, task, status, row_count, started_at_utc FROM (
+      SELECT 'waits' AS task, source_instance, count(*) AS row_count FROM {_kept_waits} GROUP BY ALL
+      UNION ALL SELECT 'waits', '*', count(*) FROM {_kept_waits}
+      UNION ALL SELECT 'blocking', source_instance, count(*) FROM blocking GROUP BY ALL
+      UNION ALL SELECT 'blocking', '*', count(*) FROM blocking) i,
+    (SELECT 'success' AS status, TIMESTAMP '2024-01-31 00:30:00' AS started_at_utc)"""
 STATEMENTS["rollup_after_upserts"] = STATEMENTS["top_logins"].replace(
     "CAST(sum(total_cpu_ms) AS DECIMAL(28,2))",
     "CAST(sum(CASE WHEN year(window_start_utc) = 1995 THEN 2 * total_cpu_ms ELSE total_cpu_ms END) AS DECIMAL(28,2))",
@@ -651,6 +659,7 @@ COLUMNS = {
     "streaming_workload_late": "total_cpu_ms total_duration_ms",
     "run_task_workload": "total_cpu_ms total_duration_ms",
     "rollup_after_upserts": "total_cpu_ms",
+    "rpt_views": "total_cpu_ms",
     "ingest_storage": "snapshot_date",
     "ingest_index_ops": "snapshot_date impact_score",
     "ingest_table_access": "snapshot_date",

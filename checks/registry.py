@@ -15,6 +15,7 @@ from gaugeworks.functions.xml import parse_events
 from gaugeworks.plans import ingest, live, reports
 from gaugeworks.plans.jobs import Store, run_task, seed_rules
 from gaugeworks.plans.rollups import Rollups
+from gaugeworks.plans.views import Views
 from gaugeworks.schemas import RUNS, TABLES
 from gaugeworks.session import scratch_path
 from gaugeworks.sources import FactTable, in_databases, read_events, stamp
@@ -396,17 +397,36 @@ def recent_runs_(s):
     )
 
 
+def _two_tasks(s) -> dict:
+    return {"waits": {"wait_stats": s.wait_stats}, "blocking": {"requests": s.requests, "sessions": s.sessions, "databases": s.databases}}
+
+
 @query
 def dry_run(s):
-    """Row counts a dry run of two tasks reports."""
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(task).alias("task"), "row_count")
-        for task, df in {
-            "waits": ingest.ingest_waits(s.wait_stats),
-            "blocking": ingest.ingest_blocking(s.requests, s.sessions, s.databases),
-        }.items()
-    ]
-    return counts[0].unionByName(counts[1])
+    """Row counts that dry runs of two tasks report."""
+    store = Store(s.spark, scratch_path(s.spark, "store"))
+    counts = [(task, run_task(store, task, raw, EVENTS_AS_OF, dry_run=True)) for task, raw in _two_tasks(s).items()]
+    return s.spark.createDataFrame(counts, "task string, row_count long")
+
+
+@query
+def run_task_ledger(s):
+    """What two runs leave in the ledger: a row per instance and one for the fleet."""
+    store = Store(s.spark, scratch_path(s.spark, "store"))
+    for task, raw in _two_tasks(s).items():
+        run_task(store, task, raw, EVENTS_AS_OF)
+    return store.ledger.runs().select("source_instance", "task", "status", "row_count", "started_at_utc")
+
+
+@query
+def rpt_views(s):
+    """A report through SQL, over views that follow a store written after they were defined."""
+    store = Store(s.spark, scratch_path(s.spark, "store"))
+    views = Views(store, lambda: AS_OF)
+    views.refresh()
+    store.table("fact_workload").upsert(s.workload)
+    views.close()
+    return s.spark.sql("SELECT * FROM rpt_top_logins")
 
 
 @query

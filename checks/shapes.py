@@ -139,7 +139,7 @@ class Shapes:
 
     @cached_property
     def index_ops(self) -> DataFrame:
-        found = self.load("lineitem").where("l_returnflag IN ('N', 'A')").selectExpr(
+        found = self.load("lineitem").selectExpr(
             "concat('srv-', l_suppkey % 4) AS source_instance",
             "to_date(date_trunc('YEAR', l_shipdate)) AS snapshot_date",
             "concat('db_', l_suppkey % 7) AS database_name",
@@ -260,7 +260,7 @@ class Shapes:
 
     @cached_property
     def requests(self) -> DataFrame:
-        return self._activity().where("event_type <> 'error'").selectExpr(
+        return self._activity().selectExpr(
             "source_instance",
             "snapshot_time_utc",
             "session_id",
@@ -297,7 +297,7 @@ class Shapes:
 
     @cached_property
     def memory_grants(self) -> DataFrame:
-        return self._activity().where("event_type IN ('view', 'purchase')").selectExpr(
+        return self._activity().selectExpr(
             "source_instance",
             "snapshot_time_utc",
             "session_id",
@@ -321,7 +321,7 @@ class Shapes:
 
     @cached_property
     def transactions(self) -> DataFrame:
-        return self._activity().where("event_type IN ('click', 'purchase')").selectExpr(
+        return self._activity().selectExpr(
             "source_instance",
             "snapshot_time_utc",
             "event_id AS transaction_id",
