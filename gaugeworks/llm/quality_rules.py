@@ -1,8 +1,9 @@
 """Quality rules whose thresholds follow the data.
 
 Each document has a few figures. Their quantiles per language and source come from mergeable sketches: one sketch per group, merged
-into one per language and one for all. A document is dropped if a figure lies far outside what is usual in its group. Groups of few
-documents use their language's thresholds, and languages of few documents those of all.
+into one per language and one for all. A document is dropped if a figure lies far outside what is usual in its group. A group's quartiles
+are drawn towards its language's, and those towards the quartiles of all, as if each brought so many documents (`PRIOR_ROWS`): one rule at
+every size, by which large groups follow their own data and small ones what they belong to.
 
 DataFrame functions only. No figure needs a shuffle of texts or words; the sketches are combined before theirs.
 """
@@ -23,23 +24,20 @@ SYMBOLS = "#*$%&|<>"
 LEAST_WORDS, MOST_REPEATED = 50, 50  # words; per cent of words in repeated windows
 WINDOW = 3
 
-#: Sketch size, documents that a group needs, and how many times the usual spread a figure may lie beyond the upper or lower quartile.
-SKETCH, LEAST_ROWS, REACH = 2048, 200, 6.0
+#: Sketch size, weight of the wider group in documents, and how many times the usual spread a figure may lie beyond a quartile.
+SKETCH, PRIOR_ROWS, REACH = 2048, 50, 6.0
 #: Figures and the least spread of each, so that a figure that hardly varies has room.
 SPREADS = {"symbol_share": 0.02, "dup_line_share": 0.1, "repeat_share": 0.05, "word_length": 0.5}
 TWO_SIDED = ("word_length",)
+QUARTILES = {"lower": 0.25, "upper": 0.75}
 
 
 def _at(array: Column, i: Column | int) -> Column:
     return F.element_at(array, i)
 
 
-def count_repeated() -> Column:
-    """Words in windows of three that the text holds twice or more, of the column `words`.
-
-    Most texts have no such window, which distinct hashes tell. In others, windows are sorted with their places, equal neighbours are found,
-    and each place adds the words that the place before does not cover. Windows are compared by 64-bit hashes.
-    """
+def window_hashes() -> Column:
+    """64-bit hashes of the windows of three words of the column `words`, in order; windows are compared by them."""
     n = F.size("words")
     place = F.sequence(F.lit(1), n - WINDOW + 1)
     hashed = F.transform(place, lambda i: F.xxhash64(_at(F.col("words"), i), _at(F.col("words"), i + 1), _at(F.col("words"), i + 2)))
@@ -60,8 +58,9 @@ def figures(docs: DataFrame) -> DataFrame:
             "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
         }
     )
-    two = one.withColumns({"n_words": F.size("words").cast("long"), "hashes": count_repeated()})
-    # the sorted hashes that occur again, each once
+    two = one.withColumns({"n_words": F.size("words").cast("long"), "hashes": window_hashes()})
+    # Most texts have no window twice, which distinct hashes tell. In others windows are sorted with their places, equal neighbours are found,
+    # and each place adds the words that the place before does not cover.
     ordered = F.sort_array("hashes")
     pairs = F.zip_with(ordered, F.slice(ordered, 2, F.greatest(F.size("hashes") - 1, F.lit(0))), lambda a, b: F.when(a == b, a))
     again = F.when(F.size(F.array_distinct("hashes")) < F.size("hashes"), F.array_distinct(F.array_compact(pairs)))
@@ -104,7 +103,10 @@ def base_failed() -> Column:
 
 
 def thresholds(rows: DataFrame) -> DataFrame:
-    """Per lang and source: lower and upper limit of each figure, from the documents that pass the base rules."""
+    """Per lang and source: lower and upper limit of each figure, from the documents that pass the base rules.
+
+    Sketches of one language's groups, and all sketches, are merged: as many rows as there are groups.
+    """
     names = list(SPREADS)
     sketches = rows.where(~base_failed()).groupBy("lang", "source").agg(
         F.count("*").alias("n"), *(F.kll_sketch_agg_double(c, SKETCH).alias(c) for c in names)
@@ -113,26 +115,30 @@ def thresholds(rows: DataFrame) -> DataFrame:
     merged = [F.sum("n").alias("n"), *(F.kll_merge_agg_double(c, SKETCH).alias(c) for c in names)]
     by_lang = groups.groupBy("lang").agg(*merged)
     all_ = groups.agg(*merged)  # one row
-    limits = lambda df: df.select(
-        *(c for c in ("lang", "source") if c in df.columns),
-        "n",
-        F.struct(*(_limits(c).alias(c) for c in names)).alias("limits"),
+    quartiles = lambda df, tag: df.select(
+        *(F.col(c).alias(c if tag == "own" else f"{c}_{tag}") for c in ("lang", "source") if c in df.columns),
+        F.col("n").cast("double").alias(f"n_{tag}"),
+        *(F.kll_sketch_get_quantile_double(c, F.lit(p)).alias(f"{c}_{part}_{tag}") for c in names for part, p in QUARTILES.items()),
     )
-    rename = lambda df, tag: df.withColumnsRenamed({"n": f"n_{tag}", "limits": f"limits_{tag}"})
     wide = (
-        limits(groups).alias("g")
-        .join(rename(limits(by_lang), "lang").withColumnRenamed("lang", "its_lang"), F.col("lang").eqNullSafe(F.col("its_lang")))
-        .join(F.broadcast(rename(limits(all_), "all")))
+        quartiles(groups, "own")
+        .join(quartiles(by_lang, "wider"), F.col("lang").eqNullSafe(F.col("lang_wider")))
+        .join(F.broadcast(quartiles(all_, "all")))
     )
-    used = F.when(F.col("n") >= LEAST_ROWS, F.col("limits")).when(F.col("n_lang") >= LEAST_ROWS, F.col("limits_lang")).otherwise(F.col("limits_all"))
-    return wide.select("lang", "source", used.alias("limits"))
+    return wide.select("lang", "source", F.struct(*(_limits(c).alias(c) for c in names)).alias("limits"))
+
+
+def _drawn(name: str) -> Column:
+    """A group's quartile, drawn towards its language's, which is drawn towards that of all."""
+    towards = lambda n, own, wider: (F.col(n) * F.col(own) + PRIOR_ROWS * wider) / (F.col(n) + PRIOR_ROWS)
+    return towards("n_own", f"{name}_own", towards("n_wider", f"{name}_wider", F.col(f"{name}_all")))
 
 
 def _limits(figure: str) -> Column:
-    q = lambda p: F.kll_sketch_get_quantile_double(figure, F.lit(p))
-    spread = F.greatest(q(0.75) - q(0.25), F.lit(SPREADS[figure]))
-    low = q(0.25) - REACH * spread if figure in TWO_SIDED else F.lit(0.0)
-    return F.struct(low.alias("low"), (q(0.75) + REACH * spread).alias("high"))
+    lower, upper = (_drawn(f"{figure}_{part}") for part in QUARTILES)
+    spread = F.greatest(upper - lower, F.lit(SPREADS[figure]))
+    low = lower - REACH * spread if figure in TWO_SIDED else F.lit(0.0)
+    return F.struct(low.alias("low"), (upper + REACH * spread).alias("high"))
 
 
 def apply_rules(docs: DataFrame) -> DataFrame:

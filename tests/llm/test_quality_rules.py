@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 from gaugeworks.llm import queries, quality_rules
+from gaugeworks.llm.common import written
 from tests.llm.helpers import odd_documents
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -61,6 +62,25 @@ def test_outliers_of_a_group_go(spark):
     assert not kept[999] and not kept[1000] and all(kept[i] for i in range(250))
 
 
+def test_a_group_follows_its_own_data(spark):
+    """Texts full of symbols are usual in one source and outliers in the other; a small group goes with its language."""
+    rnd = random.Random(5)
+    text = lambda mark: " ".join("".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(3, 8))) + mark for _ in range(80))
+    rows = [(i, text(""), "en", "plain") for i in range(400)] + [(1000 + i, text("###"), "en", "code") for i in range(400)]
+    rows += [(2000, text("###"), "en", "plain"), (2001, text("#" * 30), "en", "code"), (2002, text(""), "en", "new")]
+    kept = {r.doc_id: r.kept for r in quality_rules.apply_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert all(kept[i] for i in [*range(400), *range(1000, 1400), 2002]) and not kept[2000] and not kept[2001]
+
+
+def test_thresholds_of_the_table_are_those_of_its_groups(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    rows = written(quality_rules.figures(docs).drop("text"), "figures")
+    limits = quality_rules.thresholds(rows).collect()
+    assert len({r.limits.word_length.high for r in limits}) > 0.9 * len(limits) > 4
+    counts = {(r.lang, r.source): r["count"] for r in rows.where(~quality_rules.base_failed()).groupBy("lang", "source").count().collect()}
+    assert set(counts) == {(r.lang, r.source) for r in limits}
+
+
 def test_empty_table_and_names(spark):
     docs = odd_documents(spark)
     out = quality_rules.apply_rules(docs)
