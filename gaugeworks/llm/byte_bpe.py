@@ -22,7 +22,9 @@ from pyspark.sql import DataFrame
 from gaugeworks.llm.common import Words, byte_characters, map_texts, ragged
 
 #: Bytes of words that a worker remembers at most; ids whose strings are made at once.
-REMEMBERED, DIGEST_IDS = 120 << 20, 1 << 17
+REMEMBERED, DIGEST_IDS = 48 << 20, 1 << 17
+#: Bytes of texts that are encoded together.
+SLICE_BYTES = 2 << 20
 SCHEMA = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -128,8 +130,7 @@ class Codec:
         Where all white space of a text is single spaces and line feeds inside it, a part always ends before a space, and the space belongs to
         what follows: such texts are cut there, and a batch's distinct words are looked up once. Other texts are parted whole.
         """
-        if self.words.held() > REMEMBERED:
-            self.clear()
+        self.words = self.words.within(REMEMBERED)
         cut = [len(t.split()) == t.count(" ") + t.count("\n") + 1 for t in texts]
         split = pc.split_pattern(pa.array([t if c else "" for t, c in zip(texts, cut, strict=True)], pa.large_string()), " ")
         coded = split.flatten().dictionary_encode()
@@ -213,7 +214,7 @@ def encode_documents(docs: DataFrame, rank_path: str, pattern: str, keep: Sequen
         run.clear = tool.clear
         return run
 
-    return map_texts(docs, keep, SCHEMA + ", ids array<int>" * with_ids, make)
+    return map_texts(docs, keep, SCHEMA + ", ids array<int>" * with_ids, make, slice_bytes=SLICE_BYTES)
 
 
 def decode_ids(rank_path: str, pattern: str) -> Callable[[list[int]], bytes]:

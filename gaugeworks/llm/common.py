@@ -67,10 +67,11 @@ def ragged(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarra
 
 
 class Words:
-    """Ids of words: a number for each word, and all their ids in one array."""
+    """Ids of words: a number for each word, all their ids in one array, and how often each was asked for."""
 
     def __init__(self) -> None:
         self.number: dict = {}
+        self.uses = np.zeros(1 << 14, np.int64)
         self.starts, self.sizes, self.pool = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64), np.empty(1 << 16, np.uint32)
         self.used = self.key_bytes = 0
 
@@ -90,6 +91,7 @@ class Words:
         n = len(self.number)
         self.starts = self._with(self.starts, n, self.used + np.cumsum(sizes) - sizes)
         self.sizes = self._with(self.sizes, n, sizes)
+        self.uses = self._with(self.uses, n, np.zeros(len(sizes), np.int64))
         self.pool = self._with(self.pool, self.used, ids)
         self.used += len(ids)
         self.key_bytes += sum(map(len, words))
@@ -105,9 +107,25 @@ class Words:
 
     def ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids and their count for a sequence of words."""
+        self.uses[: len(self.number)] += np.bincount(numbers, minlength=len(self.number))
         sizes = self.sizes[numbers]
         return ragged(self.pool, self.starts[numbers], sizes), sizes
 
+    def within(self, limit: int) -> Words:
+        """These words, or, where they take more than so many bytes, the more used half of those that were used again.
+
+        Most words of a text are rare, and few make up most of it: what goes is seldom asked for.
+        """
+        if self.held() <= limit:
+            return self
+        uses = self.uses[: len(self.number)]
+        chosen = np.flatnonzero(uses > max(1, np.median(uses)))
+        keep = set(chosen.tolist())
+        kept = Words()
+        kept.add([w for w, n in self.number.items() if n in keep], *self.ids(chosen))
+        kept.uses[: len(chosen)] = uses[chosen] // 2
+        return kept if kept.held() <= limit // 4 * 3 else Words()
+
 
 def settle(*caches: Callable[[], object]) -> None:
     """At the end of a task: workers live on, and what one operator remembers is no use to the next."""

@@ -1,10 +1,11 @@
 import hashlib
 
+import numpy as np
 import public_tokenizers as P
 import tiktoken
 
 from gaugeworks.llm import byte_bpe, queries
-from gaugeworks.llm.common import table
+from gaugeworks.llm.common import Words, table
 from tests.llm.helpers import odd_documents
 
 PATH = P.path("byte_bpe_50k.tiktoken")
@@ -53,3 +54,23 @@ def test_long_documents_and_a_small_memory(spark, monkeypatch):
         ids, counts = tool.encode(texts)
         got = list(zip(range(6), counts.tolist(), tool.decimals.digests(ids, counts, 1), tool.pieces.digests(ids, counts, 0), strict=True))
         assert got == list(expected(enumerate(texts)))
+
+
+def test_words_used_again_outlive_the_bound(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 60_000)
+    tool = byte_bpe.Codec(PATH, P.PATTERN)
+    texts = [f"often again word{i} rare{i * 7}x other{i}" for i in range(600)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    got = []
+    for i in range(0, len(texts), 50):
+        ids, counts = tool.encode(texts[i : i + 50])
+        got += [len(x) for x in np.split(ids, counts.cumsum()[:-1])]
+        assert tool.words.held() < 120_000
+    assert got == [n for _, n, *_ in expected(rows)]
+    assert " again" in tool.words.number
+    few = Words()
+    few.add(["a", "b", "c", "d"], np.arange(8, dtype=np.uint32), np.full(4, 2))
+    for _ in range(3):
+        few.ids(np.array([1, 3]))
+    kept = few.within(few.held() - 1)
+    assert list(kept.number) == ["b", "d"] and kept.ids(np.array([1, 0]))[0].tolist() == [6, 7, 2, 3]
