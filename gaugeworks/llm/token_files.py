@@ -29,7 +29,7 @@ from gaugeworks.llm.common import Words, byte_characters, settle, slices
 BLOCK = 512
 CHUNK_IDS = 1 << 19
 #: Bytes of words that a worker remembers at most.
-REMEMBERED = 250 << 20
+REMEMBERED = 80 << 20
 
 #: Selector: ids in a word, bits of an id. Fixed values of the format; 0 is the escape, 1 the run.
 ESCAPE, RUN = 0, 1
@@ -41,7 +41,7 @@ LAYOUT = {
 MARKS = b",.!?;:#*$%&"
 ENDS = {bytes([b]) for b in MARKS}
 #: Bytes of texts that are encoded together.
-SLICE_BYTES = 10 << 20
+SLICE_BYTES = 6 << 20
 RUN_BITS = 10  # a run never leaves its block
 WIDE = np.uint64(1) << np.uint64(60)
 WIDTHS = np.array([1 << bits for _, bits in LAYOUT.values()], np.uint64)
@@ -248,9 +248,7 @@ def word_encoder(path: str, specials_as_text: bool) -> Encode:
         pieces = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))  # special tokens keep their case
         coded = pieces.flatten().dictionary_encode()
         distinct = coded.dictionary.cast(pa.large_binary()).to_pylist()
-        if held["words"].held() > REMEMBERED:
-            held["words"] = Words()
-        words = held["words"]
+        words = held["words"] = held["words"].within(REMEMBERED)
         found = list(map(words.number.get, distinct))
         new = [p for p, n in zip(distinct, found, strict=True) if n is None]
         if new:
