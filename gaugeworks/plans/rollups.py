@@ -20,7 +20,8 @@ from gaugeworks.functions.scalar import mean, safe_ratio
 from gaugeworks.operators import first_match, rank_within
 from gaugeworks.plans.jobs import Store
 from gaugeworks.plans.reports import TABLE
-from gaugeworks.sources.fact_table import DAY, day_folders
+from gaugeworks.session import shuffles_released
+from gaugeworks.sources.fact_table import DAY, day_folders, pieces
 from gaugeworks.sources.files import list_files, read_text, remove, write_text
 
 MARK = "_made_from"  # readers pass over names with an underscore
@@ -203,12 +204,19 @@ class Rollups:
             days = [d for d in sorted(marks) if d >= min([*days, *left])] if days or left else []
         if not days:
             return []
-        rows = self.partial(name, days)
-        rows.hint("rebalance", F.col(DAY)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(self._path(name))
-        for day in days:
-            write_text(self.spark, f"{self._path(name)}/{DAY}={day}/{MARK}", marks[day])
+        for part in [days] if name == "table_access_trend" else self._pieces(name, days):
+            with shuffles_released(self.spark):
+                rows = self.partial(name, part).hint("rebalance", F.col(DAY))
+                rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(self._path(name))
+            for day in part:
+                write_text(self.spark, f"{self._path(name)}/{DAY}={day}/{MARK}", marks[day])
         return days
 
+    def _pieces(self, name: str, days: list[dt.date]) -> list[list[dt.date]]:
+        """Days whose facts are read together: one day's sums need no other's, and what is shuffled goes before the next piece."""
+        path = self.store.table(self._source(name)).path
+        return pieces({d: sum(size for _, size, _ in list_files(self.spark, f"{path}/{DAY}={d}")) for d in days})
+
     def partial(self, name: str, days: Iterable[dt.date]) -> DataFrame:
         """Partial rows of some days, from the facts of these days alone; access deltas also take what was known the day before."""
         days = sorted(days)

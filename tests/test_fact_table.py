@@ -1,11 +1,12 @@
+import time
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from gaugeworks.schemas import TABLES
-from gaugeworks.session import checkpoint_dir, scratch_path
-from gaugeworks.sources import FactTable
+from gaugeworks.session import SHUFFLE_CLEANUP, checkpoint_dir, scratch_path
+from gaugeworks.sources import FactTable, fact_table
 from tests.conftest import d, rows, t
 
 
@@ -144,3 +145,84 @@ def test_the_last_by_sequence_wins_not_the_largest(spark, cpu):
     polls = [("i", t("2024-05-01 10:00:00"), pct, 0, 0, n) for n, pct in enumerate((90, 10))]
     cpu.upsert(spark.createDataFrame(polls, TABLES["fact_cpu"].columns + ", polled int"), ["polled"])
     assert content(cpu) == {(t("2024-05-01 10:00:00"), 10)}
+
+
+def shuffle_bytes(spark, most, seconds=10):
+    """Bytes of shuffle files that the session holds; those of ended queries may go a moment later."""
+    until = time.monotonic() + seconds
+    while True:
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        held = sum(f.length() for f in (files.apply(n) for n in range(files.size())) if f.getName().startswith("shuffle_"))
+        if held <= most or time.monotonic() > until:
+            return held
+        time.sleep(0.2)
+
+
+def sixty_days(spark, pct="id % 60", rows=6000):
+    at = "timestamp_seconds(1704067200 + (id % 60) * 86400 + id div 60) AS sample_time_utc"
+    columns = ["'i' AS source_instance", at, f"CAST({pct} AS SHORT) AS sql_cpu_pct", "0S AS other_cpu_pct", "0S AS idle_pct"]
+    return spark.range(rows).selectExpr(*columns).repartition(5)
+
+
+def test_writes_leave_no_shuffle_files(spark, cpu):
+    """Over many writes they would add up to several times the table."""
+    before = shuffle_bytes(spark, 0, seconds=0)
+    cpu.upsert(sixty_days(spark))
+    cpu.upsert(sixty_days(spark, "1"))
+    cpu.discard_staged()
+    room = before + 10_000  # a task that ends after its query leaves a file without rows
+    assert shuffle_bytes(spark, room) <= room
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
+    assert cpu.read().count() == 6000 and cpu.read().agg(F.sum("sql_cpu_pct")).first()[0] == 6000
+
+
+def test_new_days_are_not_compared(spark, cpu, monkeypatch):
+    cpu.upsert(batch(spark, ("2024-05-01 10:00:00", 1)))
+    asked = []
+    monkeypatch.setattr(cpu, "_load", lambda: asked.append(1))
+    cpu.upsert(batch(spark, ("2024-05-02 10:00:00", 2), ("2024-05-03 10:00:00", 3)))
+    monkeypatch.undo()
+    assert not asked and content(cpu) == {(t(f"2024-05-0{n} 10:00:00"), n) for n in (1, 2, 3)}
+
+
+def test_a_write_over_many_days_goes_by_pieces(spark, cpu, monkeypatch):
+    """What is shuffled on the way into the table, and a rewritten copy, are parts of the batch."""
+    monkeypatch.setattr(fact_table, "PIECE_BYTES", 1)
+    monkeypatch.setattr(fact_table, "PIECES", 4)
+    put, days, copies = cpu._put, [], []
+
+    def watched(rows, mode):
+        days.append((mode, rows.select("day").distinct().count()))
+        copies.append(len(cpu._staged))
+        put(rows, mode)
+
+    monkeypatch.setattr(cpu, "_put", watched)
+    cpu.upsert(sixty_days(spark))
+    assert sum(n for _, n in days) == 60 and max(n for _, n in days) <= 16 and {mode for mode, _ in days} == {"append"}
+    days.clear()
+    fix = sixty_days(spark, "100", 3000).where("sample_time_utc < '2024-02-01'")
+    cpu.upsert(fix)
+    assert sum(n for _, n in days) == 31 and max(n for _, n in days) <= 9 and {mode for mode, _ in days} == {"overwrite"}
+    assert max(copies) == 3 and len(cpu._staged) == 2  # each rewritten copy goes before the next piece
+    assert cpu.read().count() == 6000 and cpu.read().where("sql_cpu_pct = 100").count() == fix.count()
+
+
+def test_rows_that_share_a_key_are_settled_in_their_piece(spark, cpu, monkeypatch):
+    monkeypatch.setattr(fact_table, "PIECE_BYTES", 1)
+    monkeypatch.setattr(fact_table, "PIECES", 4)
+    twice = sixty_days(spark, "1").withColumn("n", F.lit(2)).unionByName(sixty_days(spark, "2").withColumn("n", F.lit(1)))
+    undated = spark.sql("SELECT 'i' source_instance, TIMESTAMP(NULL) sample_time_utc, 5S sql_cpu_pct, 0S other_cpu_pct, 0S idle_pct, 3 n")
+    written = cpu.upsert(twice.unionByName(undated).unionByName(undated), ["n"])
+    assert written.columns == TABLES["fact_cpu"].names and written.count() == 6000
+    for found in (written, cpu.read()):
+        assert [tuple(r) for r in found.groupBy("sql_cpu_pct").count().collect()] == [(1, 6000)]
+    assert spark.read.parquet(cpu.undated_path).count() == 2 and len(cpu._staged) == 1
+    assert spark.read.parquet(cpu.undated_path).columns == TABLES["fact_cpu"].names
+
+
+def test_pieces_are_runs_of_whole_days():
+    days = [d(f"2024-05-{n:02d}") for n in range(1, 31)]
+    assert fact_table.PIECES == 16 and fact_table.pieces({}) == [] and fact_table.pieces(dict.fromkeys(days, 1.0)) == [days]  # few bytes go at once
+    large = fact_table.PIECE_BYTES * 40.0
+    cut = fact_table.pieces({day: large if n == 5 else large / 40 for n, day in enumerate(days)})
+    assert [day for run in cut for day in run] == days and [days[5]] in cut and max(map(len, cut)) <= 5

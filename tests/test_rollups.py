@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.plans import jobs, reports
 from gaugeworks.plans.rollups import Rollups
+from gaugeworks.sources import fact_table
 from gaugeworks.sources.files import remove
 from tests.conftest import d, rows, t
 
@@ -80,6 +81,22 @@ def test_only_touched_days_are_read_and_written(spark, tmp_path):
     assert changed and all("day=2024-01-04" in f for f in changed)
 
 
+def test_many_days_are_made_by_pieces(spark, tmp_path, monkeypatch):
+    """A year's sums in one go would shuffle nearly as many rows as the facts have."""
+    monkeypatch.setattr(fact_table, "PIECE_BYTES", 1)
+    monkeypatch.setattr(fact_table, "PIECES", 3)
+    store = jobs.Store(spark, str(tmp_path))
+    rollups, days = Rollups(store), [d("2024-01-01") + dt.timedelta(days=n) for n in range(12)]
+    partial, made = rollups.partial, []
+    monkeypatch.setattr(rollups, "partial", lambda name, part: made.append((name, len(part))) or partial(name, part))
+    store.table("fact_workload").upsert(workload(spark, days))
+    for name in ("top_logins", "workload_by_category"):
+        counts = [n for made_name, n in made if made_name == name]
+        assert sum(counts) == 12 and max(counts) <= 4 and rollups._made(name) == days
+    assert rows(rollups.report("top_logins")) == rows(reports.top_logins(store.table("fact_workload").read()))
+    assert all(not x for x in rollups.refresh().values())
+
+
 def test_heatmap(spark, tmp_path):
     store = jobs.Store(spark, str(tmp_path))
     rollups, table = Rollups(store), store.table("fact_cpu")
