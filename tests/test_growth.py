@@ -1,5 +1,6 @@
 """Steps whose cost must not pile up in one task, or be paid twice, as tables grow."""
 
+import datetime as dt
 from types import SimpleNamespace
 
 import pytest
@@ -9,7 +10,9 @@ from checks import registry
 from checks.shapes import Shapes
 from gaugeworks.operators import names_at
 from gaugeworks.plans import ingest
+from gaugeworks.sources import FactTable
 from gaugeworks.sources.ledger import with_mark
+from tests.test_rollups import workload
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -44,6 +47,29 @@ def test_corrections_take_the_batch_as_written(spark):
     assert registry.rollup_after_upserts(Once(spark=spark)).count() > 0 and len(asked) == 1
 
 
+def test_lines_are_shuffled_without_what_other_columns_give(spark, tmp_path):
+    """Durations follow from the summed rows, and a month is a day's number."""
+    line = ["id % 4 AS l_orderkey", "id % 3 AS l_partkey", "id % 2 AS l_suppkey", "1 AS l_linenumber", "IF(id = 0, NULL, id / 2) AS l_quantity", "1.5D AS l_extendedprice"]
+    spark.range(12).selectExpr(*line, "timestamp'1995-01-15' + make_interval(0, id % 2) AS l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(3).selectExpr("id AS p_partkey", "'x' AS p_name").write.parquet(f"{tmp_path}/part.parquet")
+    made = Shapes(spark, str(tmp_path)).workload
+    lines = made._jdf.queryExecution().optimizedPlan().toString().split("Join Inner", 1)[1]
+    assert " AS duration" not in lines and " AS month" in lines and "5000" not in lines
+    sums = {(str(r.window_start_utc), r.total_rows, r.total_duration_ms) for r in made.groupBy("window_start_utc").agg(
+        F.sum("total_rows").alias("total_rows"), F.sum("total_duration_ms").alias("total_duration_ms")).collect()}
+    assert sums == {("1995-01-01 00:00:00", 15, 75), ("1995-02-01 00:00:00", 15, 75)}
+
+
+@pytest.mark.parametrize(("build", "objects"), [(registry.rpt_views, 1), (registry.rollup_after_upserts, 3)])
+def test_staged_copies_go_before_the_report(spark, monkeypatch, build, objects):
+    """The copy of a view's table, and that of each round of corrections, would be as large as what they hold."""
+    made, stage = [], FactTable._stage
+    monkeypatch.setattr(FactTable, "_stage", lambda self, rows: made.append(self) or stage(self, rows))
+    days = [dt.date(year, 5, 1) for year in (1992, 1994, 1995)]
+    assert build(SimpleNamespace(spark=spark, workload=workload(spark, days))).count() == 4
+    assert len({id(table) for table in made}) == objects and not any(table._staged for table in made)
+
+
 @pytest.mark.parametrize(("rows_a_file", "files"), [(10, 4), (100_000, 2)])
 def test_landed_parts_take_all_cores(spark, monkeypatch, rows_a_file, files):
     taken = []
